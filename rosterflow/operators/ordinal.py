@@ -127,16 +127,18 @@ def nth_occurrence_join(
     out: str = "n",
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
+    null_keys: str = "number",
 ) -> DataFrame:
     """Left join that pairs the n-th master row of a key with its n-th sheet row.
 
     Sheet columns come out as ``<name>_sheet``, the sheet's order column under its
     own name; ``<out>_sheet`` is null where a master row has no partner.  Blank and
-    null sheet keys can pair with nothing and are left out before numbering.  The
-    join is on (key, n), so the rows of a hot key spread over all partitions.
+    null sheet keys can pair with nothing and are left out before numbering; null
+    master keys stay, without a partner, unless ``null_keys='drop'``.  The join is
+    on (key, n), so the rows of a hot key spread over all partitions.
     """
     sheet_key = sheet_key or key
-    left = occurrence_number(master, key, order, out, hot_rows, block_rows)
+    left = occurrence_number(master, key, order, out, hot_rows, block_rows, null_keys)
     right = occurrence_number(
         sheet.filter(filled(F.col(sheet_key))), sheet_key, sheet_order, out, hot_rows, block_rows, "drop"
     )

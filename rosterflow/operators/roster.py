@@ -67,7 +67,14 @@ def roster_sync_plan(
     own = division_filter(master, division)
     partners = sheet.select(division.key, sheet_order, *division.compared)
     joined = nth_occurrence_join(
-        own, partners, division.key, order, sheet_order=sheet_order, hot_rows=hot_rows, block_rows=block_rows
+        own,
+        partners,
+        division.key,
+        order,
+        sheet_order=sheet_order,
+        hot_rows=hot_rows,
+        block_rows=block_rows,
+        null_keys="drop",  # none is left after division_filter
     )
     return joined.select(*own.columns, "n", sheet_order, *change_flags(joined, division.groups))
 
