@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A literal map is part of the plan, so it must stay small; a larger one belongs
-# in a table and is joined with rosterflow.operators.joins.lookup_join.
-MAX_LITERAL_ENTRIES = 1_000
+# Literal maps and rules are part of the plan, so they must stay small; a larger
+# one belongs in a table and is joined with rosterflow.operators.joins.lookup_join.
+MAX_LITERAL_ENTRIES = 200
 
 
 def map_values(col: Column, mapping: Mapping, unmapped: str = "null") -> Column:
@@ -23,17 +22,14 @@ def map_values(col: Column, mapping: Mapping, unmapped: str = "null") -> Column:
         raise ValueError(f"unmapped must be 'null' or 'keep', not {unmapped!r}")
     if len(mapping) > MAX_LITERAL_ENTRIES:
         raise ValueError(f"{len(mapping)} entries are too many for a literal map; use lookup_join")
-    if not mapping:
-        return F.lit(None).cast("string") if unmapped == "null" else col.cast("string")
-    literal = F.create_map(*[F.lit(item) for item in chain.from_iterable(mapping.items())])
-    mapped = literal[col]
+    mapped = first_match([col], mapping.items())
     return F.coalesce(mapped, col.cast("string")) if unmapped == "keep" else mapped
 
 
 def compose_maps(*maps: Mapping) -> dict:
     """One map with the effect of several applied in turn, unmapped values kept."""
     merged: dict = {}
-    for key in dict.fromkeys(chain.from_iterable(maps)):
+    for key in dict.fromkeys(key for mapping in maps for key in mapping):
         value = key
         for mapping in maps:
             value = mapping.get(value, value)

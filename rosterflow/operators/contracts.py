@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.functions.text import cast_key, filled
+from rosterflow.functions.text import cast_key
 from rosterflow.model import ACTIVE_MARK, JOINING_MARK, OPEN_END_SENTINEL
 
 _LATEST = "__latest"
@@ -49,13 +49,15 @@ def latest_contract(
     largest: Sequence[str] = (),
     scope: Column | None = None,
     legacy_scope: bool = True,
+    null_is_open: bool = True,
     sentinel: str = OPEN_END_SENTINEL,
 ) -> DataFrame:
     """State of each key at its latest start, one row per distinct ``group``.
 
     ``group`` holds the keys and the fields kept apart; the lowest status, the
-    largest of ``largest`` and the latest end are taken per group, an open (null)
-    end counting as the latest.  ``scope`` limits the rows that decide the latest
+    largest of ``largest`` and the latest end are taken per group.  An open end, the
+    sentinel date, counts as the latest and comes out null; a null end counts as
+    open unless ``null_is_open`` is off, which then ignores it.  ``scope`` limits the rows that decide the latest
     start; with ``legacy_scope`` the rows reported are not limited by it.
 
     Rows are folded before they are joined: copies of one contract collapse on the
@@ -65,7 +67,7 @@ def latest_contract(
     source = df if legacy_scope or scope is None else df.filter(scope)
     states = source.groupBy(*group, start).agg(
         F.min(status).alias(status),
-        F.max(F.coalesce(F.col(end), far)).alias(end),
+        F.max(F.coalesce(F.col(end), far) if null_is_open else F.col(end)).alias(end),
         *[F.max(c).alias(c) for c in largest],
     )
     latest = latest_start(df, keys, start, scope, start)
@@ -99,49 +101,56 @@ def append_new_staff(
     return rows.join(present, [rows[m] == present[f"__{m}"] for m in on], "left_anti")
 
 
+def absent_employees(
+    employees: DataFrame, existing: DataFrame, id_col: str = "id", existing_id: str = "id"
+) -> DataFrame:
+    """Employees whose id is not in ``existing``; ids are compared at full length, as text."""
+    present = existing.select(cast_key(F.col(existing_id)).alias("__id")).distinct()
+    return employees.join(present, cast_key(employees[id_col]) == present["__id"], "left_anti")
+
+
+def with_active_master(
+    employees: DataFrame,
+    master: DataFrame,
+    details: Sequence[str] = ("sub_team", "manager"),
+    on: str = "national_id",
+    team: str = "team_name",
+) -> DataFrame:
+    """Employees in a team, with ``details`` of their active master rows.
+
+    The master is cut to distinct details per id first: further copies of a row
+    would only give rows that the caller folds again.
+    """
+    active = master.filter(F.col("status").contains(ACTIVE_MARK)).select(on, *details).distinct()
+    return employees.filter(F.col(team).isNotNull()).join(active, on)
+
+
 def missing_contract_rows(
     employees: DataFrame,
     contracts: DataFrame,
     existing: DataFrame,
     employee_columns: Sequence[str],
+    master: DataFrame | None = None,
+    details: Sequence[str] = ("sub_team", "manager"),
+    contract_columns: Sequence[str] = ("job_title",),
     id_col: str = "id",
     contract_id: str = "employee_id",
     contract_day: str = "effective_on",
-    contract_columns: Sequence[str] = ("job_title",),
     existing_id: str = "id",
 ) -> DataFrame:
     """Distinct employees with their latest contract who have no row in ``existing``.
 
-    Ids are compared at full length, as text.  The anti join comes first, on ids
-    alone, and contract versions are folded to distinct ones before ranking.
+    With ``master``, only employees in a team that have an active master row, along
+    with its ``details``.  The anti join comes first, and contract versions are
+    made distinct before they are ranked, so copies collapse on the map side.
     """
-    present = existing.select(cast_key(F.col(existing_id)).alias("__id")).distinct()
-    staff = employees.select(*dict.fromkeys([id_col, *employee_columns])).distinct()
-    absent = staff.join(present, cast_key(staff[id_col]) == present["__id"], "left_anti")
+    staff = absent_employees(employees, existing, id_col, existing_id)
+    kept = list(dict.fromkeys([id_col, *employee_columns]))
+    if master is not None:
+        staff = with_active_master(staff, master, details)
+        kept += list(details)
     versions = contracts.select(
-        F.col(contract_id).alias("__employee"), F.col(contract_day).alias("__day"), *contract_columns
+        F.col(contract_id).alias(id_col), F.col(contract_day).alias("__day"), *contract_columns
     ).distinct()
-    latest = latest_by_rank(versions, "__employee", "__day").drop("__day")
-    joined = absent.join(latest, absent[id_col] == latest["__employee"])
-    return joined.select(*dict.fromkeys([id_col, *employee_columns]), *contract_columns)
-
-
-def active_master_details(
-    employees: DataFrame,
-    master: DataFrame,
-    details: Sequence[str] = ("sub_team", "manager"),
-    national_id: str = "factorial_id",
-    team: str = "team_name",
-) -> DataFrame:
-    """Employees in a team, with details of their active master rows.
-
-    The master is cut to distinct (id, details) first, since its further copies
-    would only repeat rows that the caller folds anyway.
-    """
-    active = (
-        master.filter(F.col("status").contains(ACTIVE_MARK) & filled(F.col("national_id")))
-        .select("national_id", *details)
-        .distinct()
-    )
-    staff = employees.filter(F.col(team).isNotNull())
-    return staff.join(active, staff[national_id] == active["national_id"]).drop("national_id")
+    latest = latest_by_rank(versions, id_col, "__day")
+    return staff.select(*kept).join(latest, id_col).select(*kept, *contract_columns).distinct()

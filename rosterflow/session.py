@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -32,3 +34,19 @@ def build_session(app: str = "rosterflow", master: str | None = None, **extra: s
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a temporary folder of its own; a
+    cluster session is refused, since its executors would not see one.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="rosterflow-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder

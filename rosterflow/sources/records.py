@@ -6,49 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _schema(**fields: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()])
-
-
 # Fields of the HR records.
-EMPLOYEES_SCHEMA = _schema(
-    id="bigint",
-    first_name="string",
-    last_name="string",
-    email="string",
-    birthday_on="string",
-    terminated_on="string",
-    identifier="string",
-    gender="string",
-    nationality="string",
-    country="string",
-    city="string",
-    company_id="bigint",
-    created_at="string",
-    manager_id="bigint",
-    team_ids="array<bigint>",
-    legal_entity_id="bigint",
+EMPLOYEES_SCHEMA = (
+    "id bigint, first_name string, last_name string, email string, birthday_on string, "
+    "terminated_on string, identifier string, gender string, nationality string, country string, "
+    "city string, company_id bigint, created_at string, manager_id bigint, team_ids array<bigint>, "
+    "legal_entity_id bigint"
 )
-TEAMS_SCHEMA = _schema(
-    id="bigint", name="string", company_id="bigint", employee_ids="array<bigint>", lead_ids="array<bigint>"
+TEAMS_SCHEMA = (
+    "id bigint, name string, company_id bigint, employee_ids array<bigint>, lead_ids array<bigint>"
 )
-CONTRACT_VERSIONS_SCHEMA = _schema(
-    id="bigint",
-    employee_id="bigint",
-    effective_on="date",
-    job_title="string",
-    working_hours="bigint",
-    salary_amount="bigint",
-    es_contract_type_id="bigint",
+CONTRACT_VERSIONS_SCHEMA = (
+    "id bigint, employee_id bigint, effective_on date, job_title string, working_hours bigint, "
+    "salary_amount bigint, es_contract_type_id bigint"
 )
-SUPPLEMENTS_SCHEMA = _schema(
-    id="bigint", employee_id="bigint", effective_on="date", amount_in_cents="bigint"
+SUPPLEMENTS_SCHEMA = (
+    "id bigint, employee_id bigint, effective_on date, amount_in_cents bigint"
 )
-TALENT_SCORES_SCHEMA = _schema(Performance="int", Potential="int")
+TALENT_SCORES_SCHEMA = "Performance int, Potential int"
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = True
 ) -> DataFrame:
     """Records as delivered, by a given schema, so nothing is scanned to infer one.
 
