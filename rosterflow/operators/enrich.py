@@ -16,9 +16,8 @@ def explode_members(
     teams: DataFrame, members: str = "employee_ids", name: str = "name", out: str = "employee_id"
 ) -> DataFrame:
     """One row per (team, member); a team without members gives one row with a null member."""
-    return teams.select(
-        F.col(name).alias("team_name"), F.explode_outer(members).cast("bigint").alias(out)
-    )
+    ids = F.col(members).cast("array<bigint>")
+    return teams.select(F.col(name).alias("team_name"), F.explode_outer(ids).alias(out))
 
 
 def employees_with_teams(

@@ -9,6 +9,7 @@ rows of the earlier blocks are added from a small table of block counts.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,21 +55,46 @@ def dense_ordinal(
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, the largest first, ``max_keys`` at most.
+) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, the largest first; None when there are none.
 
-    Counting combines on the map side, so a hot key costs no more than another.
-    The limit bounds the broadcast: a key left out is handled without salting,
-    which is slower but gives the same result.
+    Runs one job over the key columns alone.  Counting combines on the map side, so
+    a hot key costs no more than another.  At most ``max_keys`` keys come back, as a
+    local frame; a key beyond those is numbered like an ordinary one, which is
+    slower but gives the same result.
     """
-    return (
+    found = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(_ROWS))
         .filter(F.col(_ROWS) > hot_rows)
-        .orderBy(F.desc(_ROWS), *keys)
+        .orderBy(F.desc(_ROWS))
         .limit(max_keys)
         .select(*keys)
     )
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def _number_spread(
+    df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str, out: str, block_rows: int
+) -> DataFrame:
+    """Numbering with the rows of ``hot`` keys spread over blocks.
+
+    The table of block counts holds hot keys only.  It joins the rows on the
+    columns they are already partitioned by, so the rows are not shuffled again.
+    """
+    marked = df.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), keys, "left")
+    blocked = marked.withColumn(
+        _BLOCK, F.when(F.col(_HOT), _block_of(order, block_rows)).otherwise(F.lit(0))
+    )
+    counts = blocked.filter(_HOT).groupBy(*keys, _BLOCK).agg(F.count(F.lit(1)).alias(_ROWS))
+    local = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy(order))
+    return (
+        blocked.withColumn(out, local.cast("bigint"))
+        .join(_rows_before(counts, keys), [*keys, _BLOCK], "left")
+        .withColumn(out, F.col(out) + F.coalesce(F.col(_BEFORE), F.lit(0)))
+        .select(*df.columns, out)
+    )
 
 
 def occurrence_number(
@@ -76,44 +102,35 @@ def occurrence_number(
     keys: str | Sequence[str],
     order: str,
     out: str = "n",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
     null_keys: str = "number",
 ) -> DataFrame:
     """``row_number()`` per key along ``order`` (a unique BIGINT), safe for hot keys.
 
-    Rows of an ordinary key share one window partition.  Rows of a hot key are
-    spread over blocks.  ``null_keys='drop'`` removes rows with a null key, which
-    can pair with nothing; ``'number'`` numbers them as a group of their own.
+    Rows of an ordinary key share one window partition.  Keys with more than
+    ``hot_rows`` rows are found by a small job first, and their rows are spread
+    over blocks; ``hot_rows=None`` skips that job where keys are known to be even.
+    ``null_keys='drop'`` removes rows with a null key, which can pair with nothing;
+    ``'number'`` numbers them as a group of their own.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if null_keys not in ("number", "drop"):
         raise ValueError(f"null_keys must be 'number' or 'drop', not {null_keys!r}")
-    some_null = F.lit(False)
-    for key in keys:
-        some_null = some_null | F.col(key).isNull()
+    some_null = reduce(lambda a, b: a | b, (F.col(key).isNull() for key in keys))
     keyed = df.filter(~some_null)
+    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint")
 
-    hot = hot_keys(keyed, keys, hot_rows).withColumn(_HOT, F.lit(True))
-    blocked = keyed.join(F.broadcast(hot), keys, "left").withColumn(
-        _BLOCK, F.when(F.col(_HOT), _block_of(order, block_rows)).otherwise(F.lit(0))
-    )
-    counts = blocked.filter(_HOT).groupBy(*keys, _BLOCK).agg(F.count(F.lit(1)).alias(_ROWS))
-    local = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy(order))
-    numbered = (
-        blocked.withColumn(out, local.cast("bigint"))
-        .join(_rows_before(counts, keys), [*keys, _BLOCK], "left")
-        .withColumn(out, F.col(out) + F.coalesce(F.col(_BEFORE), F.lit(0)))
-        .select(*df.columns, out)
-    )
-    if null_keys == "drop" or not any(df.schema[key].nullable for key in keys):
+    hot = None if hot_rows is None else hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return (keyed if null_keys == "drop" else df).withColumn(out, plain)
+    numbered = _number_spread(keyed, hot, keys, order, out, block_rows)
+    if null_keys == "drop":
         return numbered
-    if len(keys) > 1:
-        # A partly null key still forms a group with its other parts.
-        window = Window.partitionBy(*keys).orderBy(order)
-        rest = df.filter(some_null).withColumn(out, F.row_number().over(window).cast("bigint"))
-    else:
+    if len(keys) == 1:
         rest = dense_ordinal(df.filter(some_null), order, out, 1, block_rows)
+    else:  # a partly null key still forms a group with its other parts
+        rest = df.filter(some_null).withColumn(out, plain)
     return numbered.unionByName(rest)
 
 
@@ -125,7 +142,7 @@ def nth_occurrence_join(
     sheet_key: str | None = None,
     sheet_order: str = "sheet_row",
     out: str = "n",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
     null_keys: str = "number",
 ) -> DataFrame:

@@ -57,7 +57,7 @@ def roster_sync_plan(
     division: Division,
     order: str = "row_ord",
     sheet_order: str = "sheet_row",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row per master row of the division: its partner's row number and its flags.

@@ -10,9 +10,8 @@ from pyspark.sql import SparkSession
 def recommended_conf() -> dict[str, str]:
     """Settings worth having on any cluster.
 
-    Adaptive execution does three jobs here: it splits skewed partitions of the
-    sort-merge joins, it drops the salting branch of the numbering operators
-    when no key is hot, and it sizes the shuffle partitions.
+    Adaptive execution does two jobs here: it splits skewed partitions of the
+    sort-merge joins, and it sizes the shuffle partitions.
     """
     return {
         "spark.sql.adaptive.enabled": "true",
