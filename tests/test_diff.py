@@ -1,0 +1,94 @@
+import pytest
+
+from rosterflow.operators.diff import field_diff_each, roster_diff
+
+M = "name string, ord bigint, title string, manager string"
+S = "name string, sheet_row bigint, title string, manager string"
+
+
+def frames(spark):
+    master = spark.createDataFrame(
+        [
+            ("same", 1, "t", "m"),
+            ("title", 2, "t2", "m"),
+            ("both null", 3, "t", None),
+            ("left null", 4, "t", None),
+            ("right null", 5, "t", "m"),
+            ("dup", 6, "t", "m"),
+            ("dup", 7, "x", "m"),
+            ("", 8, "z", "z"),
+            (None, 9, "z", "z"),
+            ("master only", 10, "t", "m"),
+        ],
+        M,
+    )
+    sheet = spark.createDataFrame(
+        [
+            ("same", 2, "t", "m"),
+            ("title", 3, "t", "m"),
+            ("both null", 4, "t", None),
+            ("left null", 5, "t", "m"),
+            ("right null", 6, "t", None),
+            ("dup", 7, "y", "m"),
+            ("dup", 8, "t", "m"),
+            ("", 9, "t", "m"),
+            (None, 10, "t", "m"),
+        ],
+        S,
+    )
+    return master, sheet
+
+
+def test_legacy_diff_counts_any_null_and_keeps_repeats(spark, rows):
+    master, sheet = frames(spark)
+    out = roster_diff(master, sheet, ["name"], ["title", "manager"], "tech", carry=["ord", "sheet_row"])
+    assert out.columns == ["name", "title_master", "title_tech", "manager_master", "manager_tech", "ord", "sheet_row"]
+    assert rows(out, "ord", "sheet_row") == [(2, 3), (3, 4), (4, 5), (5, 6), (6, 7), (7, 7), (7, 8)]
+
+
+def test_safe_diff_takes_two_nulls_as_equal(spark, rows):
+    master, sheet = frames(spark)
+    out = roster_diff(master, sheet, ["name"], ["title", "manager"], nulls="safe", carry=["ord"])
+    assert rows(out, "ord") == [(2,), (4,), (5,), (6,), (7,), (7,)]
+
+
+def test_sql_diff_drops_unknowns(spark, rows):
+    master, sheet = frames(spark)
+    out = roster_diff(master, sheet, ["name"], ["manager"], nulls="sql", carry=["ord"])
+    assert rows(out, "ord") == []
+
+
+def test_diff_of_equal_frames_is_empty(spark):
+    master, _ = frames(spark)
+    filled = master.na.fill("x").filter("name <> 'dup'")
+    sheet = filled.withColumnRenamed("ord", "sheet_row")
+    assert roster_diff(filled, sheet, ["name"], ["title", "manager"]).count() == 0
+
+
+def test_diff_by_two_keys(spark, rows):
+    master = spark.createDataFrame([("1", "A", "x"), ("1", "B", "x"), ("", "A", "x"), ("2", None, "x")], "id string, company string, team string")
+    sheet = spark.createDataFrame([("1", "A", "y", 2), ("1", "C", "y", 3), ("", "A", "y", 4), ("2", None, "y", 5)], "id string, company string, team string, sheet_row bigint")
+    assert rows(roster_diff(master, sheet, ["id", "company"], ["team"])) == [("1", "A", "x", "y", 2)]
+
+
+def test_field_diff_each_gives_one_flag_per_field(spark, rows):
+    master, sheet = frames(spark)
+    out = field_diff_each(master, sheet, ["name"], {"title": "jobtitle", "manager": "manager"}, carry=["ord", "sheet_row"])
+    got = {(r.ord, r.sheet_row): (r.differences_jobtitle, r.differences_manager) for r in out.collect()}
+    assert got[(1, 2)] == (False, False)
+    assert got[(2, 3)] == (True, False)
+    assert got[(3, 4)] == (False, False)
+    assert got[(4, 5)] == got[(5, 6)] == (False, True)
+    assert len(got) == 5 + 4
+
+
+def test_empty_sides(spark):
+    master, sheet = frames(spark)
+    assert roster_diff(master.filter("false"), sheet, ["name"], ["title"]).count() == 0
+    assert roster_diff(master, sheet.filter("false"), ["name"], ["title"]).count() == 0
+
+
+def test_unknown_null_mode(spark):
+    master, sheet = frames(spark)
+    with pytest.raises(ValueError):
+        roster_diff(master, sheet, ["name"], ["title"], nulls="x")
