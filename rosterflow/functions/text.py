@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterflow.model import OPEN_END_SENTINEL, SHEET_DATE_FORMAT, SHEET_DATE_PATTERN
+from rosterflow.model import (
+    OPEN_END_SENTINEL,
+    SHEET_DATE_FORMAT,
+    SHEET_DATE_PATTERN,
+    SHEET_DATE_SHAPE,
+)
 
 
 def filled(col: Column) -> Column:
@@ -25,9 +30,13 @@ def null_text() -> Column:
     return F.lit(None).cast("string")
 
 
-def parse_date(col: Column, pattern: str = SHEET_DATE_PATTERN) -> Column:
-    """Sheet text to a date; blanks and words become null instead of failing."""
-    return F.try_to_date(F.nullif(F.trim(col), F.lit("")), pattern)
+def parse_date(col: Column) -> Column:
+    """Sheet text to a date; blanks and words become null instead of failing.
+
+    The shape is tested first: a failed parse costs far more than a failed match.
+    """
+    text = F.trim(col)
+    return F.when(text.rlike(SHEET_DATE_SHAPE), F.try_to_date(text, SHEET_DATE_PATTERN))
 
 
 def date_text(col: Column, pattern: str = SHEET_DATE_FORMAT) -> Column:
@@ -48,7 +57,7 @@ def sentinel_to_null(col: Column, sentinel: str = OPEN_END_SENTINEL) -> Column:
 
 def parse_amount(col: Column) -> Column:
     """``12.345,67`` to a decimal; unreadable text becomes null."""
-    plain = F.regexp_replace(F.regexp_replace(F.trim(col), r"\.", ""), ",", ".")
+    plain = F.translate(F.trim(col), ",.", ".")  # a comma becomes a point, a point goes
     return F.nullif(plain, F.lit("")).try_cast("decimal(12,2)")
 
 

@@ -51,6 +51,7 @@ ROSTER_COLUMNS: list[str] = list(ROSTER_LABELS.values())
 # The text forms the sheets use.
 SHEET_DATE_FORMAT = "dd/MM/yyyy"
 SHEET_DATE_PATTERN = "d/M/yyyy"  # reads both 1/2/2022 and 01/02/2022
+SHEET_DATE_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4}$"
 OPEN_END_SENTINEL = "2040-01-01"
 ACTIVE_MARK = "Activo"
 ACTIVE_STATUS = "00 - Activo"

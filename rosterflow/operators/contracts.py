@@ -60,20 +60,16 @@ def latest_contract(
     open unless ``null_is_open`` is off, which then ignores it.  ``scope`` limits the rows that decide the latest
     start; with ``legacy_scope`` the rows reported are not limited by it.
 
-    Rows are folded before they are joined: copies of one contract collapse on the
-    map side, so a key with very many rows costs no more than its distinct states.
+    The semi join comes first, so that only rows at a latest start are grouped by all
+    of ``group``; a key with very many of those is split by adaptive execution, and
+    its copies combine before the second shuffle.
     """
     far = F.lit(sentinel).cast("date")
     source = df if legacy_scope or scope is None else df.filter(scope)
-    states = source.groupBy(*group, start).agg(
-        F.min(status).alias(status),
-        F.max(F.coalesce(F.col(end), far) if null_is_open else F.col(end)).alias(end),
-        *[F.max(c).alias(c) for c in largest],
-    )
-    latest = latest_start(df, keys, start, scope, start)
-    extra = [c for c in group if c not in keys]
-    return states.join(latest, [*keys, start], "left_semi").select(
-        *keys, *extra, status, F.nullif(F.col(end), far).alias(end), *largest
+    rows = source.join(latest_start(df, keys, start, scope, start), [*keys, start], "left_semi")
+    last_end = F.max(F.coalesce(F.col(end), far) if null_is_open else F.col(end))
+    return rows.groupBy(*group).agg(
+        F.min(status).alias(status), F.nullif(last_end, far).alias(end), *[F.max(c).alias(c) for c in largest]
     )
 
 
@@ -141,8 +137,8 @@ def missing_contract_rows(
     """Distinct employees with their latest contract who have no row in ``existing``.
 
     With ``master``, only employees in a team that have an active master row, along
-    with its ``details``.  The anti join comes first, and contract versions are
-    made distinct before they are ranked, so copies collapse on the map side.
+    with its ``details``.  The anti join comes first.  Contract versions are ranked
+    and then made distinct, so that the join sees each of them once per employee.
     """
     staff = absent_employees(employees, existing, id_col, existing_id)
     kept = list(dict.fromkeys([id_col, *employee_columns]))
@@ -151,6 +147,6 @@ def missing_contract_rows(
         kept += list(details)
     versions = contracts.select(
         F.col(contract_id).alias(id_col), F.col(contract_day).alias("__day"), *contract_columns
-    ).distinct()
-    latest = latest_by_rank(versions, id_col, "__day")
+    )
+    latest = latest_by_rank(versions, id_col, "__day").drop("__day").distinct()
     return staff.select(*kept).join(latest, id_col).select(*kept, *contract_columns).distinct()

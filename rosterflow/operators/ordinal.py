@@ -97,6 +97,36 @@ def _number_spread(
     )
 
 
+def _numbered(
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    out: str,
+    hot_rows: int | None,
+    block_rows: int,
+    null_keys: str,
+) -> tuple[DataFrame, bool]:
+    """The numbered frame, and whether some key is hot."""
+    if null_keys not in ("number", "drop"):
+        raise ValueError(f"null_keys must be 'number' or 'drop', not {null_keys!r}")
+    some_null = reduce(lambda a, b: a | b, (F.col(key).isNull() for key in keys))
+    keyed = df.filter(~some_null)
+    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint")
+
+    searched = keyed if null_keys == "drop" else df
+    hot = None if hot_rows is None else hot_keys(searched, keys, hot_rows)
+    if hot is None:
+        return searched.withColumn(out, plain), False
+    numbered = _number_spread(keyed, hot, keys, order, out, block_rows)
+    if null_keys == "drop":
+        return numbered, True
+    if len(keys) == 1:
+        rest = dense_ordinal(df.filter(some_null), order, out, 1, block_rows)
+    else:  # a partly null key still forms a group with its other parts
+        rest = df.filter(some_null).withColumn(out, plain)
+    return numbered.unionByName(rest), True
+
+
 def occurrence_number(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -115,23 +145,7 @@ def occurrence_number(
     ``'number'`` numbers them as a group of their own.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if null_keys not in ("number", "drop"):
-        raise ValueError(f"null_keys must be 'number' or 'drop', not {null_keys!r}")
-    some_null = reduce(lambda a, b: a | b, (F.col(key).isNull() for key in keys))
-    keyed = df.filter(~some_null)
-    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint")
-
-    hot = None if hot_rows is None else hot_keys(df, keys, hot_rows)
-    if hot is None:
-        return (keyed if null_keys == "drop" else df).withColumn(out, plain)
-    numbered = _number_spread(keyed, hot, keys, order, out, block_rows)
-    if null_keys == "drop":
-        return numbered
-    if len(keys) == 1:
-        rest = dense_ordinal(df.filter(some_null), order, out, 1, block_rows)
-    else:  # a partly null key still forms a group with its other parts
-        rest = df.filter(some_null).withColumn(out, plain)
-    return numbered.unionByName(rest)
+    return _numbered(df, keys, order, out, hot_rows, block_rows, null_keys)[0]
 
 
 def nth_occurrence_join(
@@ -151,20 +165,23 @@ def nth_occurrence_join(
     Sheet columns come out as ``<name>_sheet``, the sheet's order column under its
     own name; ``<out>_sheet`` is null where a master row has no partner.  Blank and
     null sheet keys can pair with nothing and are left out before numbering; null
-    master keys stay, without a partner, unless ``null_keys='drop'``.  The join is
-    on (key, n), so the rows of a hot key spread over all partitions.
+    master keys stay, without a partner, unless ``null_keys='drop'``.
+
+    The join is on (key, n).  Where a key is hot, both sides are partitioned by
+    (key, n), which spreads it.  Where none is, a session that sets
+    ``spark.sql.requireAllClusterKeysForCoPartition`` to false keeps the windows'
+    partitioning by key, and each side is shuffled once in all.
     """
     sheet_key = sheet_key or key
-    left = occurrence_number(master, key, order, out, hot_rows, block_rows, null_keys)
-    right = occurrence_number(
-        sheet.filter(filled(F.col(sheet_key))), sheet_key, sheet_order, out, hot_rows, block_rows, "drop"
-    )
+    left, hot_left = _numbered(master, [key], order, out, hot_rows, block_rows, null_keys)
+    named = sheet.filter(filled(F.col(sheet_key)))
+    right, hot_right = _numbered(named, [sheet_key], sheet_order, out, hot_rows, block_rows, "drop")
     right = right.select(
-        *[
-            F.col(f"`{c}`").alias(c if c == sheet_order else f"{c}_sheet")
-            for c in right.columns
-        ]
+        *[F.col(f"`{c}`").alias(c if c == sheet_order else f"{c}_sheet") for c in right.columns]
     )
+    if hot_left or hot_right:
+        left = left.repartition(key, out)
+        right = right.repartition(f"{sheet_key}_sheet", f"{out}_sheet")
     on = (left[key] == right[f"{sheet_key}_sheet"]) & (left[out] == right[f"{out}_sheet"])
     return left.join(right, on, "left")
 

@@ -11,12 +11,15 @@ def recommended_conf() -> dict[str, str]:
     """Settings worth having on any cluster.
 
     Adaptive execution does two jobs here: it splits skewed partitions of the
-    sort-merge joins, and it sizes the shuffle partitions.
+    sort-merge joins, and it sizes the shuffle partitions.  Joins may reuse a
+    partitioning by some of their keys, which saves the roster sync a second shuffle
+    per side; the sync partitions by all keys itself where one is hot.
     """
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "static",
