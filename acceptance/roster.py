@@ -32,6 +32,7 @@ from rosterflow.operators.roster import (
 )
 from rosterflow.plans.report import REPORT_FIELDS, REPORT_FIELDS_BY_ID, roster_diff_report as report
 from rosterflow.plans.sync import master_snapshot as snapshot, roster_sync as sync
+from rosterflow.session import materialize
 
 FLAGS = ["insert_", "update_1", "update_2", "update_manager", "update_salaries"]
 TEXT_GROUPS = URGENT.groups[:3]
@@ -81,7 +82,7 @@ SELECT (SELECT max(sheet_row) FROM sheet) + row_number() OVER (ORDER BY ord) AS
   status, team, manager FROM plan WHERE insert_ = 1"""
 )
 def roster_sync_inserts(spark, sf_dir):
-    result = sync(narrow_master(spark, sf_dir), narrow_sheet(spark, sf_dir), URGENT, "ord")
+    result = sync(narrow_master(spark, sf_dir), narrow_sheet(spark, sf_dir), URGENT, "ord", reuse="table")
     return result.inserts.select("sheet_row", "emp_name", "job_title", "status", "team", "manager")
 
 
@@ -99,7 +100,7 @@ SELECT (SELECT max(sheet_row) FROM sheet) + row_number() OVER (ORDER BY ord), em
   manager, fix_salary FROM plan WHERE insert_ = 1"""
 )
 def roster_sync(spark, sf_dir):
-    return sync(narrow_master(spark, sf_dir), narrow_sheet(spark, sf_dir), URGENT, "ord").new_sheet
+    return sync(narrow_master(spark, sf_dir), narrow_sheet(spark, sf_dir), URGENT, "ord", reuse="table").new_sheet
 
 
 @query(
@@ -260,7 +261,8 @@ def active_filter(spark, sf_dir):
     name="split_by_flag",
 )
 def _split_by_flag(spark, sf_dir):
-    parts = split_by_flag(_narrow_plan(spark, sf_dir).select("ord", *FLAGS), FLAGS)
+    plan = materialize(_narrow_plan(spark, sf_dir).select("ord", *FLAGS), "flags")
+    parts = split_by_flag(plan, FLAGS)
     frames = [df.select(F.lit(flag).alias("flag"), "ord") for flag, df in parts.items()]
     result = frames[0]
     for frame in frames[1:]:

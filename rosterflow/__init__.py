@@ -5,7 +5,7 @@ Spark expressions.  See README.md for a tour.
 """
 
 from rosterflow.model import DIVISIONS, ROSTER_COLUMNS, Division, UpdateGroup
-from rosterflow.session import build_session, recommended_conf
+from rosterflow.session import build_session, materialize, recommended_conf, shared_dir
 
 __all__ = [
     "DIVISIONS",
@@ -13,5 +13,7 @@ __all__ = [
     "Division",
     "UpdateGroup",
     "build_session",
+    "materialize",
     "recommended_conf",
+    "shared_dir",
 ]

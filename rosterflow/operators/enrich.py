@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.functions.mapping import first_match, map_values
+from rosterflow.functions.mapping import first_match, map_values, shadowed_rules
 from rosterflow.functions.text import scale_hundredths
 from rosterflow.operators.joins import MAX_BROADCAST_ROWS, left_join_hot_right, lookup_join
 
@@ -77,7 +78,13 @@ def contract_type(
     code: str = "contract_code",
     out: str = "contract_type",
 ) -> DataFrame:
-    """Contract type by (company, code, type) rules: the first match wins, no match gives null."""
+    """Contract type by (company, code, type) rules: the first match wins, no match gives null.
+
+    Rules that an earlier one hides are reported as a warning.
+    """
+    hidden = shadowed_rules(rules)
+    if hidden:
+        warnings.warn(f"rules that can never match: {hidden}", stacklevel=2)
     return df.withColumn(out, first_match([F.col(company), F.col(code)], rules))
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from rosterflow.functions.text import filled
 
 BLOCK_ROWS = 250_000
-HOT_ROWS = 250_000
-MAX_HOT_KEYS = 10_000
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 _BLOCK, _BEFORE, _HOT, _ROWS = "__block", "__before", "__hot", "__rows"
 

@@ -48,19 +48,23 @@ def latest_contract_state(
     Dates and amounts are parsed before any maximum is taken; the text of the
     largest amount is kept beside it, as ``fix_salary_text`` and ``bonus_text``.
     """
+    group = list(dict.fromkeys([*keys, *state]))
+    amounts = [
+        F.struct(parse_amount(F.col(c)).alias("amount"), F.col(c).alias("text")).alias(c)
+        for c in ("fix_salary", "bonus")
+    ]
     parsed = master.select(
-        *keys,
-        *[c for c in state if c not in keys],
+        *group,
         "status",
         scope.alias("__scope"),
         parse_date(F.col("start_date")).alias("start_date"),
         end_date_or_sentinel(F.col("end_date")).alias("end_date"),
-        *[F.struct(parse_amount(F.col(c)).alias("amount"), F.col(c).alias("text")).alias(c) for c in ("fix_salary", "bonus")],
+        *amounts,
     )
     latest = latest_contract(
         parsed,
         keys,
-        [*keys, *[c for c in state if c not in keys]],
+        group,
         "start_date",
         "end_date",
         largest=["fix_salary", "bonus"],
@@ -69,10 +73,12 @@ def latest_contract_state(
         null_is_open=False,
     )
     return latest.select(
-        *[c for c in latest.columns if c not in ("fix_salary", "bonus")],
+        *group,
+        "status",
+        "end_date",
+        date_text(F.col("end_date")).alias("end_date_text"),
         *[F.col(c)["amount"].alias(c) for c in ("fix_salary", "bonus")],
         *[F.col(c)["text"].alias(f"{c}_text") for c in ("fix_salary", "bonus")],
-        date_text(F.col("end_date")).alias("end_date_text"),
     )
 
 
@@ -81,14 +87,21 @@ def latest_contract_diff(
     sheet: DataFrame,
     division: str = "Solar",
     keys: Sequence[str] = ("full_name", "company"),
+    latest_keys: Sequence[str] | None = None,
+    state: Sequence[str] = STATE_FIELDS,
+    fields: Sequence[str] = DIFF_FIELDS,
     legacy_scope: bool = True,
     nulls: str = "safe",
 ) -> DataFrame:
     """Latest contracts against the sheet: one boolean per field, with both values.
 
+    ``keys`` pair a contract with the sheet; the latest start is taken per
+    ``latest_keys`` (the same by default; (id, company) is the other form in use).
     Dates are compared as dates and amounts as amounts, a blank being null.
     """
-    state = latest_contract_state(master, division_scope(division), keys, legacy_scope=legacy_scope)
+    by = latest_keys or keys
+    group = [*dict.fromkeys([*keys, *state])]
+    latest = latest_contract_state(master, division_scope(division), by, group, legacy_scope)
     rows = sheet.withColumns(
         {
             "end_date": parse_date(F.col("end_date")),
@@ -97,14 +110,12 @@ def latest_contract_diff(
         }
     )
     carry = ["sheet_row", "end_date_text", "fix_salary_text", "bonus_text"]
-    return field_diff_each(state, rows, keys, DIFF_FIELDS, nulls, carry)
+    return field_diff_each(latest, rows, keys, fields, nulls, carry)
 
 
-def latest_contract_patches(diff: DataFrame) -> DataFrame:
+def latest_contract_patches(diff: DataFrame, fields: Sequence[str] = PATCHED_FIELDS) -> DataFrame:
     """One cell patch per differing field of :func:`latest_contract_diff`."""
-    values = {
-        f: f"{f}_text" if f in ("end_date", "fix_salary", "bonus") else f"{f}_master" for f in PATCHED_FIELDS
-    }
+    values = {f: f"{f}_text" if f in ("end_date", "fix_salary", "bonus") else f"{f}_master" for f in fields}
     return build_field_patches(diff, values, FIELD_CELLS)
 
 

@@ -63,12 +63,16 @@ EMPLOYEE_NAMES = {"created_at": "start_date", "terminated_on": "end_date", "iden
 
 
 def employees_table(
-    employees: DataFrame, teams: DataFrame, split: DataFrame, companies: Mapping[int, str]
+    employees: DataFrame, teams: DataFrame, split: DataFrame | None, companies: Mapping[int, str]
 ) -> DataFrame:
-    """Employees with their team, company name and split; one row per team of theirs."""
+    """Employees with their team, company name and split; one row per team of theirs.
+
+    Without a ``split`` table the split is left out.
+    """
     public = drop_columns(employees, [*PRIVATE_FIELDS, "city", "country", "company_id", "team_ids"])
     staff = with_company_name(rename_columns(public, EMPLOYEE_NAMES), companies, "legal_entity_id")
-    return assign_split(employees_with_teams(staff, teams), split)
+    placed = employees_with_teams(staff, teams)
+    return placed if split is None else assign_split(placed, split)
 
 
 def payroll_table(

@@ -13,6 +13,7 @@ from rosterflow.operators.frames import stack_frames
 from rosterflow.operators.ordinal import append_rows
 from rosterflow.operators.patch import apply_patches, build_patches
 from rosterflow.operators.roster import division_filter, project_roster, roster_sync_plan
+from rosterflow.session import materialize
 
 
 @dataclass(frozen=True)
@@ -38,18 +39,17 @@ def roster_sync(
     """Bring a division's sheet up to date with the master.
 
     New rows are written by column name; sheet columns that the master lacks stay
-    empty in them.  All four frames derive from one plan.  When more than one of
-    them is used, ``reuse='persist'`` caches the plan, and ``reuse='checkpoint'``
-    writes it to the session's checkpoint directory, which also survives the loss
-    of executors without recomputing the joins.
+    empty in them.  All four frames derive from one plan, and the new sheet reads it
+    more than once.  ``reuse='table'`` writes the plan to the shared folder, so that
+    its joins run once even when executors are lost; ``reuse='persist'`` caches it.
     """
     plan = roster_sync_plan(master, sheet, division, order, sheet_order, **numbering)
     if reuse == "persist":
         plan = plan.persist()
-    elif reuse == "checkpoint":
-        plan = plan.checkpoint()
+    elif reuse == "table":
+        plan = materialize(plan, "roster-plan")
     elif reuse is not None:
-        raise ValueError(f"reuse must be None, 'persist' or 'checkpoint', not {reuse!r}")
+        raise ValueError(f"reuse must be None, 'persist' or 'table', not {reuse!r}")
 
     patches = build_patches(plan, division.groups, sheet_order)
     new = plan.filter(F.col("insert_") == 1)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def recommended_conf() -> dict[str, str]:
@@ -52,3 +53,16 @@ def shared_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="rosterflow-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    Later jobs then read only the columns and row groups they need, and the loss of
+    an executor does not bring back the joins behind the frame.  The files stay
+    until the folder is cleared.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-from rosterflow.sources.grid import promote_header, union_team_sheets
+from rosterflow.sources.grid import promote_header, roster_from_grid, union_team_sheets
 from rosterflow.sources.records import (
     CONTRACT_VERSIONS_SCHEMA,
     EMPLOYEES_SCHEMA,
@@ -30,5 +30,6 @@ __all__ = [
     "read_table",
     "read_talent_scores",
     "read_with_row_ord",
+    "roster_from_grid",
     "union_team_sheets",
 ]

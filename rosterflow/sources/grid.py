@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.functions.text import sheet_team
+from rosterflow.model import ROSTER_LABELS
+from rosterflow.operators.frames import rename_columns
 from rosterflow.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 
 TEAM_SHEET_PREFIX = "chapter_lead_"  # fixed value: how team sheets are named
@@ -52,6 +54,14 @@ def promote_header(
     return grid.filter(F.col("row_ord") > 0).select(*cells)
 
 
+def roster_from_grid(grid: DataFrame, max_cols: int | None = None, row_col: str = "sheet_row") -> DataFrame:
+    """A roster sheet as a table with the snake_case names of ``ROSTER_LABELS``.
+
+    Labels the roster does not know keep their own name.
+    """
+    return rename_columns(promote_header(grid, max_cols, row_col), ROSTER_LABELS)
+
+
 def union_team_sheets(
     grids: DataFrame,
     teams: DataFrame,

@@ -14,6 +14,7 @@ from rosterflow.operators.contracts import (
     rows_at_latest_start,
     with_active_master,
 )
+from rosterflow.operators.ordinal import append_rows
 from rosterflow.plans.contracts import (
     division_scope,
     latest_contract_diff,
@@ -101,6 +102,16 @@ def test_append_new_staff(spark, rows):
     assert rows(renamed) == rows(out)
 
 
+def test_new_staff_keep_the_order_of_their_first_copy(spark, rows):
+    master = spark.createDataFrame(
+        [("b", "00 - Activo", 5), ("a", "00 - Activo", 9), ("b", "00 - Activo", 2)], "name string, status string, row_ord bigint"
+    )
+    sheet = spark.createDataFrame([("z", 4)], "name string, sheet_row bigint")
+    new = append_new_staff(master, sheet, ["name"], order="row_ord")
+    assert rows(new, "name", "row_ord") == [("a", 9), ("b", 2)]
+    assert rows(append_rows(sheet, new, "row_ord"), "name", "sheet_row") == [("a", 6), ("b", 5)]
+
+
 def test_absent_employees_compares_whole_ids(spark, rows):
     staff = spark.createDataFrame([(1,), (12,), (123,)], "id bigint")
     existing = spark.createDataFrame([("12",), ("",), (None,), ("12",)], "id string")
@@ -188,3 +199,19 @@ def test_latest_contract_diff_and_patches(spark, rows):
         (2, "end_date", None, "end_date", "V2"),
         (2, "job_title", "new", "job_title", "F2"),
     ]
+
+
+def test_latest_contract_diff_by_id_and_without_profile(spark):
+    master = roster(
+        spark,
+        solar(id="1", start_date="1/1/2020", status="02 - Baja"),
+        solar(id="1", start_date="1/1/2021", profile="p"),
+        solar(id="2", start_date="1/1/2019", status="01 - Join"),
+    )
+    sheet = roster(spark, solar(id="1", profile="q", sheet_row=2), extra=", sheet_row bigint")
+    state = ["id", "job_title", "split", "team", "sub_team", "manager"]
+    fields = ["end_date", "status", "split", "team", "sub_team", "job_title", "manager", "fix_salary", "bonus"]
+    diff = latest_contract_diff(master, sheet, latest_keys=["id", "company"], state=state, fields=fields)
+    assert sorted(r.status_master for r in diff.collect()) == ["00 - Activo", "01 - Join"]
+    assert "differences_profile" not in diff.columns
+    assert latest_contract_patches(diff, fields).count() == 1

@@ -73,7 +73,8 @@ def test_payroll_table(spark, rows):
     with pytest.raises(ValueError, match="has_payroll"):
         payroll_table(contracts, people, {1: "North"}, rules)
     full = contracts.withColumns({c: F.lit(1) for c in PAYROLL_UNUSED_FIELDS})
-    out = payroll_table(full, people, {1: "North"}, rules)
+    with pytest.warns(UserWarning, match="never"):
+        out = payroll_table(full, people, {1: "North"}, rules)
     assert not set(PAYROLL_UNUSED_FIELDS) & set(out.columns)
     assert rows(out, "id", "salary_amount", "working_hours", "company_name", "contract_type", "last_name") == [
         (1, Decimal("1234.56"), Decimal("40.00"), "North", "permanent", "b"),
@@ -105,6 +106,11 @@ def test_employees_table_drops_private_fields(spark, rows):
     ]
 
 
+def test_employees_table_without_split(spark):
+    people = spark.createDataFrame([(1, 1)], "id bigint, legal_entity_id bigint")
+    assert "split" not in employees_table(people, teams(spark), None, {1: "North"}).columns
+
+
 def test_frames(spark, rows):
     df = spark.createDataFrame([(1, "a", None), (2, "b", "T")], "id bigint, `x, y` string, team_name string")
     assert frames.rename_columns(df, {"x, y": "xy", "zz": "q"}).columns == ["id", "xy", "team_name"]

@@ -5,11 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rosterflow.model import DIVISIONS, ROSTER_COLUMNS
+from rosterflow.model import DIVISIONS, ROSTER_COLUMNS, ROSTER_LABELS
 from rosterflow.operators.roster import division_filter
 from rosterflow.plans import master_snapshot, roster_diff_report, roster_sync, team_sheet_table
 from rosterflow.plans.report import REPORT_FIELDS, REPORT_FIELDS_BY_ID
-from rosterflow.session import shared_dir
+from rosterflow.sources import roster_from_grid
 
 MASTER = ", ".join(f"{c} string" for c in ROSTER_COLUMNS) + ", row_ord bigint"
 SHEET = ", ".join(f"{c} string" for c in ROSTER_COLUMNS) + ", sheet_row bigint"
@@ -99,9 +99,8 @@ def test_sync_equals_brute_force(spark):
     assert {r.row_ord: tuple(r[c] for c in columns) for r in plan.collect()} == expected
 
 
-@pytest.mark.parametrize("reuse", ["persist", "checkpoint"])
+@pytest.mark.parametrize("reuse", ["persist", "table"])
 def test_reuse_does_not_change_results(spark, rows, reuse):
-    shared_dir(spark)
     master, sheet = random_rosters(spark, 4)
     lazy = roster_sync(master, sheet, DIVISIONS["solar"])
     kept = roster_sync(master, sheet, DIVISIONS["solar"], reuse=reuse)
@@ -158,3 +157,34 @@ def test_team_sheet_table(spark, rows):
     )
     staff = spark.createDataFrame([("T",), ("T",), (None,)], "team_name string")
     assert rows(team_sheet_table(grids, staff, ["id"])) == [("T", 2, "1")]
+
+
+def as_grid(spark, name, labels, cells):
+    rows = [(name, 0, list(labels))] + [(name, i, row) for i, row in enumerate(cells, start=1)]
+    return spark.createDataFrame(rows, "sheet string, row_ord bigint, cells array<string>")
+
+
+def test_from_grids_to_a_new_sheet(spark, rows):
+    """Two sheets as delivered, through the sync, to the rows the sheet then holds."""
+    labels = [label for label in ROSTER_LABELS if label != "% EM"]
+
+    def cells(**fields):
+        return [fields.get(ROSTER_LABELS[label], "") for label in labels]
+
+    ana = {"full_name": "Doe, Ana", "division": "Technology", "status": "00 - Activo", "company": "A"}
+    master = roster_from_grid(
+        as_grid(
+            spark,
+            "Master",
+            labels,
+            [cells(**ana, job_title="Lead"), cells(**ana, job_title="Dev"), cells(full_name="", division="Technology"), cells(full_name="X", division="Solar")],
+        ),
+        100,
+        row_col="row_ord",
+    )
+    sheet = roster_from_grid(as_grid(spark, "Tech", [*labels, "Note"], [[*cells(**ana, job_title="Dev"), "keep"]]))
+    sync = roster_sync(master, sheet, DIVISIONS["tech"])
+    assert rows(sync.patches, "sheet_row", "field", "value") == [
+        (2, "company", "A"), (2, "division", "Technology"), (2, "job_title", "Lead"), (2, "split", ""), (2, "status", "00 - Activo")]
+    assert rows(sync.new_sheet, "sheet_row", "full_name", "job_title", "Note") == [
+        (2, "Doe, Ana", "Lead", "keep"), (3, "Doe, Ana", "Dev", None)]
