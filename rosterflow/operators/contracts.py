@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.functions.text import cast_key
+from rosterflow.operators.joins import anti_join
 from rosterflow.model import ACTIVE_MARK, JOINING_MARK, OPEN_END_SENTINEL
 
 _LATEST = "__latest"
@@ -85,20 +86,17 @@ def append_new_staff(
 ) -> DataFrame:
     """Distinct master rows with a wanted status that the sheet lacks.
 
-    An anti join, so a null key on the sheet removes nothing.  The sheet's keys are
-    made distinct first: a key that fills the sheet is one row in the join.  With
-    ``order`` (a unique BIGINT) each row keeps that of its first copy, by which
-    ``append_rows`` can number them.
+    An anti join, so a null key on the sheet removes nothing.  With ``order`` (a
+    unique BIGINT) each row keeps that of its first copy, by which ``append_rows``
+    can number them.
     """
-    on = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     wanted = F.lit(False)
     for mark in marks:
         wanted = wanted | F.col(status).contains(mark)
     rows = master.filter(wanted if scope is None else scope & wanted)
     names = [c for c in columns or rows.columns if c != order]
     rows = rows.groupBy(*names).agg(F.min(order).alias(order)) if order else rows.select(*names).distinct()
-    present = sheet.select(*[F.col(s).alias(f"__{m}") for m, s in on.items()]).distinct()
-    return rows.join(present, [rows[m] == present[f"__{m}"] for m in on], "left_anti")
+    return anti_join(rows, sheet, on)
 
 
 def absent_employees(

@@ -21,6 +21,7 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 
 _BLOCK, _BEFORE, _HOT, _ROWS = "__block", "__before", "__hot", "__rows"
+_KEY, _ORDER, _SIDE = "__key", "__order", "__side"
 
 
 def _block_of(order: str, block_rows: int):
@@ -97,16 +98,24 @@ def _number_spread(
     )
 
 
-def _numbered(
+def occurrence_number(
     df: DataFrame,
-    keys: list[str],
+    keys: str | Sequence[str],
     order: str,
-    out: str,
-    hot_rows: int | None,
-    block_rows: int,
-    null_keys: str,
-) -> tuple[DataFrame, bool]:
-    """The numbered frame, and whether some key is hot."""
+    out: str = "n",
+    hot_rows: int | None = HOT_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    null_keys: str = "number",
+) -> DataFrame:
+    """``row_number()`` per key along ``order`` (a unique BIGINT), safe for hot keys.
+
+    Rows of an ordinary key share one window partition.  Keys with more than
+    ``hot_rows`` rows are found by a small job first, and their rows are spread
+    over blocks; ``hot_rows=None`` skips that job where keys are known to be even.
+    ``null_keys='drop'`` removes rows with a null key, which can pair with nothing;
+    ``'number'`` numbers them as a group of their own.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
     if null_keys not in ("number", "drop"):
         raise ValueError(f"null_keys must be 'number' or 'drop', not {null_keys!r}")
     some_null = reduce(lambda a, b: a | b, (F.col(key).isNull() for key in keys))
@@ -116,36 +125,38 @@ def _numbered(
     searched = keyed if null_keys == "drop" else df
     hot = None if hot_rows is None else hot_keys(searched, keys, hot_rows)
     if hot is None:
-        return searched.withColumn(out, plain), False
+        return searched.withColumn(out, plain)
     numbered = _number_spread(keyed, hot, keys, order, out, block_rows)
     if null_keys == "drop":
-        return numbered, True
+        return numbered
     if len(keys) == 1:
         rest = dense_ordinal(df.filter(some_null), order, out, 1, block_rows)
     else:  # a partly null key still forms a group with its other parts
         rest = df.filter(some_null).withColumn(out, plain)
-    return numbered.unionByName(rest), True
+    return numbered.unionByName(rest)
 
 
-def occurrence_number(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    order: str,
-    out: str = "n",
-    hot_rows: int | None = HOT_ROWS,
-    block_rows: int = BLOCK_ROWS,
-    null_keys: str = "number",
+def _pair_by_union(
+    master: DataFrame, sheet: DataFrame, key: str, order: str, sheet_key: str, sheet_order: str, out: str
 ) -> DataFrame:
-    """``row_number()`` per key along ``order`` (a unique BIGINT), safe for hot keys.
+    """Pairing without a join: both sides in one shuffle by key, and two windows on it.
 
-    Rows of an ordinary key share one window partition.  Keys with more than
-    ``hot_rows`` rows are found by a small job first, and their rows are spread
-    over blocks; ``hot_rows=None`` skips that job where keys are known to be even.
-    ``null_keys='drop'`` removes rows with a null key, which can pair with nothing;
-    ``'number'`` numbers them as a group of their own.
+    The first window numbers the rows of a key on each side.  In the second, a
+    master row and the sheet row with its key and number stand next to each other.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return _numbered(df, keys, order, out, hot_rows, block_rows, null_keys)[0]
+    left = master.select("*", F.col(key).alias(_KEY), F.col(order).alias(_ORDER), F.lit(0).alias(_SIDE))
+    right = sheet.select("*", F.col(sheet_key).alias(_KEY), F.col(sheet_order).alias(_ORDER), F.lit(1).alias(_SIDE))
+    both = left.unionByName(right, allowMissingColumns=True).repartition(_KEY)
+    place = F.row_number().over(Window.partitionBy(_KEY, _SIDE).orderBy(_ORDER))
+    pair = Window.partitionBy(_KEY, out).orderBy(_SIDE)
+    partner = {c: F.lead(c).over(pair) for c in sheet.columns}
+    partner[f"{out}_sheet"] = F.lead(out).over(pair)
+    return (
+        both.withColumn(out, place.cast("bigint"))
+        .withColumns(partner)
+        .filter(F.col(_SIDE) == 0)
+        .select(*master.columns, out, *partner)
+    )
 
 
 def nth_occurrence_join(
@@ -164,26 +175,29 @@ def nth_occurrence_join(
 
     Sheet columns come out as ``<name>_sheet``, the sheet's order column under its
     own name; ``<out>_sheet`` is null where a master row has no partner.  Blank and
-    null sheet keys can pair with nothing and are left out before numbering; null
-    master keys stay, without a partner, unless ``null_keys='drop'``.
+    null sheet keys can pair with nothing and are left out; null master keys stay,
+    without a partner, unless ``null_keys='drop'``.
 
-    The join is on (key, n).  Where a key is hot, both sides are partitioned by
-    (key, n), which spreads it.  Where none is, a session that sets
-    ``spark.sql.requireAllClusterKeysForCoPartition`` to false keeps the windows'
-    partitioning by key, and each side is shuffled once in all.
+    Where no key is hot, each side is shuffled once, by key.  Where one is, its rows
+    are numbered in blocks, and the sides are joined on (key, n), which spreads it.
     """
     sheet_key = sheet_key or key
-    left, hot_left = _numbered(master, [key], order, out, hot_rows, block_rows, null_keys)
     named = sheet.filter(filled(F.col(sheet_key)))
-    right, hot_right = _numbered(named, [sheet_key], sheet_order, out, hot_rows, block_rows, "drop")
-    right = right.select(
-        *[F.col(f"`{c}`").alias(c if c == sheet_order else f"{c}_sheet") for c in right.columns]
+    named = named.select(
+        *[F.col(f"`{c}`").alias(c if c == sheet_order else f"{c}_sheet") for c in named.columns]
+    )
+    sheet_key = f"{sheet_key}_sheet"
+    if null_keys == "drop":
+        master = master.filter(F.col(key).isNotNull())
+    hot = hot_rows is not None and (
+        hot_keys(master, [key], hot_rows) is not None or hot_keys(named, [sheet_key], hot_rows) is not None
     )
-    if hot_left or hot_right:
-        left = left.repartition(key, out)
-        right = right.repartition(f"{sheet_key}_sheet", f"{out}_sheet")
-    on = (left[key] == right[f"{sheet_key}_sheet"]) & (left[out] == right[f"{out}_sheet"])
-    return left.join(right, on, "left")
+    if not hot:
+        return _pair_by_union(master, named, key, order, sheet_key, sheet_order, out)
+    left = occurrence_number(master, key, order, out, hot_rows, block_rows, null_keys)
+    right = occurrence_number(named, sheet_key, sheet_order, f"{out}_sheet", hot_rows, block_rows, "drop")
+    on = (left[key] == right[sheet_key]) & (left[out] == right[f"{out}_sheet"])
+    return left.repartition(key, out).join(right.repartition(sheet_key, f"{out}_sheet"), on, "left")
 
 
 def append_rows(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from acceptance.standins import URGENT, narrow_master, narrow_sheet, table
 from rosterflow.operators.contracts import latest_by_rank
+from rosterflow.operators.joins import anti_join
 from rosterflow.operators.ordinal import dense_ordinal
 from rosterflow.operators.roster import roster_sync_plan
 
@@ -50,19 +51,26 @@ def test_no_cross_join_no_python_no_global_window(large_plans, name):
         assert "SinglePartition" not in text or "Window" not in text
 
 
-def test_sync_shuffles_each_side_once(large_plans):
+def test_sync_shuffles_each_side_once_and_joins_nothing(large_plans):
     plan = roster_sync_plan(
         narrow_master(large_plans, SMALL), narrow_sheet(large_plans, SMALL), URGENT, "ord", hot_rows=None
     )
-    assert shuffles(plan_of(plan)) == 2
-    large_plans.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
-    try:
-        again = roster_sync_plan(
-            narrow_master(large_plans, SMALL), narrow_sheet(large_plans, SMALL), URGENT, "ord", hot_rows=None
-        )
-        assert shuffles(plan_of(again)) == 4
-    finally:
-        large_plans.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    assert shuffles(plan_of(plan)) == 1  # of both sides together
+    assert "Join" not in plan_of(plan)
+    flags = plan_of(plan.select("ord", "insert_"))
+    assert "o_totalprice" not in flags  # columns that nobody reads are not shuffled
+
+
+def test_a_hot_left_side_can_be_split(large_plans):
+    """Both children of the anti join are shuffles, as adaptive skew handling needs."""
+    left = table(large_plans, SMALL, "orders").select("o_custkey", "o_orderstatus")
+    right = table(large_plans, SMALL, "events").select(F.col("user_id").alias("o_custkey"))
+    text = plan_of(anti_join(left, right, ["o_custkey"]))
+    below = text[text.index("SortMergeJoin"):].splitlines()
+    assert len([x for x in below if re.match(r"^\W*(\*\(\d+\) )?Sort ", x)]) == 2
+    for i, line in enumerate(below):
+        if re.match(r"^\W*(\*\(\d+\) )?Sort ", line):
+            assert "Exchange" in below[i + 1]
 
 
 def test_hot_keys_are_joined_on_key_and_place(large_plans):
