@@ -12,8 +12,8 @@ from rosterflow.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        "local[4]",
-        spark__sql__shuffle__partitions="4",
+        "local[8]",
+        spark__sql__shuffle__partitions="3",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )
