@@ -43,7 +43,8 @@ def many(spark, key="k"):
 
 
 def few(spark, key="k"):
-    return spark.range(0, ROWS, 1, 8).selectExpr(f"id AS {key}", "id AS w")
+    """Distinct keys; the expression hides that they come from a range, partitioned by itself."""
+    return spark.range(0, ROWS, 1, 8).selectExpr(f"CAST(concat(id, '') AS BIGINT) AS {key}", "id AS w")
 
 
 def ran_split(df):
@@ -79,3 +80,9 @@ CASES = {
 @pytest.mark.parametrize("case", list(CASES))
 def test_hot_key_is_split(skewed, case):
     assert ran_split(CASES[case](skewed))
+
+
+def test_a_plain_anti_join_with_distinct_keys_is_not_split(skewed):
+    """Why ``anti_join`` is written as it is: here the aggregation stands below the join."""
+    keys = few(skewed).filter("k > 5").select("k").distinct()
+    assert not ran_split(many(skewed).join(keys, "k", "left_anti"))
