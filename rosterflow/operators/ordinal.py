@@ -40,7 +40,9 @@ def dense_ordinal(
 ) -> DataFrame:
     """Number all rows ``start, start + 1, ...`` along ``order`` (a unique BIGINT).
 
-    One shuffle of the rows, by block.  The window that spans the whole table runs
+    The rows are read twice, for the counts and for themselves, so ``order`` must
+    not change between readings; put an expensive frame through
+    ``rosterflow.materialize`` first.  One shuffle of the rows, by block.  The window that spans the whole table runs
     over block counts only: one row per ``block_rows`` ordinals.
     """
     blocked = df.withColumn(_BLOCK, _block_of(order, block_rows))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rosterflow.operators.ordinal import (
     append_rows,
@@ -111,3 +112,11 @@ def test_append_rows_continues_after_the_last_row(spark, rows):
     empty = sheet.filter("false")
     assert rows(append_rows(empty, new, "row_ord"), "name", "sheet_row") == [("a", 2), ("b", 3)]
     assert append_rows(sheet, new.filter("false"), "row_ord").count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [None, 2])
+def test_a_sheet_may_derive_from_its_master(spark, rows, hot_rows):
+    master = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 4)], "name string, row_ord bigint")
+    sheet = master.filter("row_ord <> 2").withColumn("sheet_row", F.col("row_ord") + 10)
+    out = nth_occurrence_join(master, sheet, "name", "row_ord", hot_rows=hot_rows, block_rows=2)
+    assert rows(out, "row_ord", "n", "sheet_row") == [(1, 1, 11), (2, 2, 13), (3, 3, None), (4, 1, 14)]

@@ -3,7 +3,7 @@ import uuid
 import pytest
 
 from rosterflow import sinks
-from rosterflow.session import shared_dir
+from rosterflow.session import materialize, shared_dir
 
 
 @pytest.fixture
@@ -69,3 +69,11 @@ def test_route_by_team_writes_known_teams_only(spark, tmp_path):
 
 def test_shared_dir_is_stable(spark):
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_materialize_keeps_rows_and_schema(spark, rows):
+    df = spark.createDataFrame([(1, None, "a"), (2, [3], "b")], "n int, ids array<bigint>, `x, y` string")
+    out = materialize(df)
+    assert out.schema == df.schema
+    assert rows(out, "n", "x, y") == rows(df, "n", "x, y")
+    assert "Scan parquet" in out._jdf.queryExecution().executedPlan().toString()
