@@ -12,6 +12,8 @@ from rosterflow.llm.language import fit, identify
 from rosterflow.llm.packing import pack
 from rosterflow.llm.pieces import decode_pieces, encode_pieces
 from rosterflow.llm.secrets import secret_spans
+from rosterflow.llm.warc import RECORD_ID, classify, new_folder, read_archives, write_archives
+from rosterflow.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,3 +106,27 @@ def op9_exact_dedup(spark, sf_dir):
     return found.select(
         F.col("key").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query(
+    """WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+q AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+    min(page_id) OVER (PARTITION BY sha256(payload)) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM q"""
+)
+def op6_warc(spark, sf_dir):
+    """The digest and size of responses are those of the payload read back, of revisits those of their heads."""
+    folder = new_folder(shared_dir(spark))
+    archives = write_archives(classify(table(spark, sf_dir, "pages")), folder)
+    read = read_archives(spark, archives, range_bytes=4 << 20)
+    number = lambda c: F.expr(f"try_cast(substring({c}, {len(RECORD_ID) + 1}) AS bigint)")
+    return read.select(
+        number("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("bigint"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha2("payload", 256), "payload_digest").alias("payload_digest"),
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
