@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm.dedup import exact_dedup
 from rosterflow.llm.language import fit, identify
+from rosterflow.llm.neighbours import nearest
 from rosterflow.llm.packing import pack
 from rosterflow.llm.pieces import decode_pieces, encode_pieces
 from rosterflow.llm.secrets import secret_spans
@@ -130,3 +131,9 @@ def op6_warc(spark, sf_dir):
         "record_type",
         number("refers_to").alias("refers_to"),
     )
+
+
+@query()
+def op5_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
