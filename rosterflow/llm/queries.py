@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm.dedup import exact_dedup
 from rosterflow.llm.language import fit, identify
+from rosterflow.llm.licences import scan_licences
 from rosterflow.llm.neighbours import nearest
 from rosterflow.llm.packing import pack
 from rosterflow.llm.pieces import decode_pieces, encode_pieces
+from rosterflow.llm.quotes import reply_ordered
 from rosterflow.llm.secrets import secret_spans
 from rosterflow.llm.warc import RECORD_ID, classify, new_folder, read_archives, write_archives
 from rosterflow.session import shared_dir
@@ -137,3 +139,48 @@ def op6_warc(spark, sf_dir):
 def op5_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+_MAIL = """WITH m AS (SELECT conv_id, turn, role, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') AS text FROM conversations),
+p AS (SELECT m.*, q.turn AS parent_turn, coalesce(len(list_filter(string_split(q.text, chr(10)), lambda x: trim(x) <> '')), 0) AS one,
+    coalesce(len(list_filter(string_split(r.text, chr(10)), lambda x: trim(x) <> '')), 0) AS two
+  FROM m LEFT JOIN m q ON q.conv_id = m.conv_id AND q.turn = m.turn - 1 AND q.text <> ''
+    LEFT JOIN m r ON r.conv_id = m.conv_id AND r.turn = m.turn - 2 AND r.text <> ''),
+t AS (SELECT *, max(CASE WHEN parent_turn IS NULL THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS root_turn FROM p)
+SELECT conv_id, turn, role, text, parent_turn, root_turn, turn - root_turn AS depth,
+  row_number() OVER (PARTITION BY conv_id ORDER BY root_turn, turn) - 1 AS position, CAST(one + two AS BIGINT) AS quoted,
+  CAST(one + two AS BIGINT) AS linked, concat('<|', coalesce(role, 'unknown'), '|>', chr(10), text) AS formatted FROM t"""
+
+
+def mails(conversations: DataFrame) -> DataFrame:
+    """Conversations as mail: each turn over quotes of the two turns before it, the older one a level deeper."""
+    before = lambda n: conversations.select(
+        "conv_id", (F.col("turn") + n).alias("turn"), F.regexp_replace("text", "(?m)^", "> " * n).alias(f"quote{n}")
+    )
+    own = F.coalesce("text", F.lit(""))
+    joined = conversations.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+    announced = F.when(F.col("quote1").isNotNull(), F.concat(F.lit("On Monday someone wrote:\n"), F.concat_ws("\n", "quote2", "quote1"), F.lit("\n\n")))
+    return joined.select("conv_id", "turn", "role", F.concat(F.coalesce(announced, F.lit("")), own).alias("text"))
+
+
+@query(_MAIL)
+def op1_quotes(spark, sf_dir):
+    """What went into the mails comes out: the texts, the message before each as its parent, the order."""
+    return reply_ordered(mails(table(spark, sf_dir, "conversations")))
+
+
+def as_files(documents: DataFrame) -> DataFrame:
+    """Documents laid out as a tree of files; every fifth is a licence file of its upper directory."""
+    return documents.select(
+        "doc_id", "text",
+        F.expr(
+            "concat(source, '/p', CAST(doc_id DIV 10 % 20 AS STRING), CASE WHEN doc_id % 5 = 0 "
+            "THEN concat('/LICENSE.', CAST(doc_id AS STRING)) ELSE concat('/s', CAST(doc_id % 4 AS STRING), '/', CAST(doc_id AS STRING), '.txt') END)"
+        ).alias("path"),
+    )
+
+
+@query()
+def op10_licences(spark, sf_dir):
+    found = scan_licences(as_files(table(spark, sf_dir, "documents")))
+    return found.withColumnRenamed("key", "doc_id")
