@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.llm.dedup import exact_dedup
+from rosterflow.llm.jaccard import near_duplicates
 from rosterflow.llm.language import fit, identify
 from rosterflow.llm.licences import scan_licences
 from rosterflow.llm.neighbours import nearest
@@ -184,3 +185,9 @@ def as_files(documents: DataFrame) -> DataFrame:
 def op10_licences(spark, sf_dir):
     found = scan_licences(as_files(table(spark, sf_dir, "documents")))
     return found.withColumnRenamed("key", "doc_id")
+
+
+@query()
+def op8_jaccard_join(spark, sf_dir):
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("cls").alias("class_id"))
