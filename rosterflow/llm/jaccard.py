@@ -512,3 +512,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", plan
     return rows.join(named, "cls", "left").select(
         "id", F.col("n").alias("n_shingles"), "cls", F.coalesce("component_id", "id").alias("component_id")
     )
+
+
+def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", plan: JoinPlan = JoinPlan()) -> DataFrame:
+    """The rows of ``docs`` with the smallest key of their group, with their columns as they were.
+
+    ``key`` tells rows apart; rows without a key stay where their group has none.
+    """
+    found = near_duplicates(docs, key, text, plan)
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__kept")).distinct()
+    return docs.join(kept, F.col(key).cast("bigint").eqNullSafe(F.col("__kept")), "left_semi")
