@@ -1,7 +1,7 @@
 """A corpus from raw documents to packed windows, in five stages.
 
 Each stage takes all that the one before kept and its decisions take effect: rejected
-rows go, copies go, secrets are replaced in the text.  Every stage but the last gives
+rows go, copies and near copies go, secrets are replaced in the text.  Every stage but the last gives
 the columns of ``documents``.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.llm.dedup import keep_first_copies
+from rosterflow.llm.jaccard import keep_one_of_each
 from rosterflow.llm.language import UNDETERMINED, fit, identify
 from rosterflow.llm.packing import pack
 from rosterflow.llm.queries import tokenizer_file
@@ -42,6 +43,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_first_copies(documents(docs))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of near copies the document with the smallest id."""
+    return keep_one_of_each(documents(docs))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document and replaces its secrets."""
     return redact_secrets(documents(docs))
@@ -56,6 +62,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language ID", language_id),
     ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_dedup),
     ("secret scans", secret_scan),
     ("packing", packing),
 ]
