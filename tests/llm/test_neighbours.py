@@ -1,0 +1,84 @@
+import math
+
+import numpy as np
+import pytest
+
+from rosterflow.llm import queries
+from rosterflow.llm.neighbours import HashPlan, hadamard, nearest
+
+SCHEMA = "vec_id bigint, embedding array<float>, id string, v string, ids string, bucket string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, "x", "x", "x", "x") for i, v in rows], SCHEMA)
+
+
+def brute(rows, queries_, k):
+    data = {(i, tuple(np.array(v, np.float32).astype(float))) for i, v in rows}
+    out = {}
+    for q, v in queries_:
+        best = {}
+        for i, x in data:
+            if i != q and len(x) == len(v):
+                d = math.sqrt(sum((a - b) ** 2 for a, b in zip(np.array(v, np.float32).astype(float), x, strict=True)))
+                best[i] = min(best.get(i, d), d)
+        out[q] = sorted((d, i) for i, d in best.items())[:k]
+    return out
+
+
+def found(df, queries_, **more):
+    out = {}
+    for r in sorted(nearest(df, queries_, **more).collect(), key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    return out
+
+
+def same(got, want):
+    assert set(got) == {q for q, x in want.items() if x}
+    for q, pairs in want.items():
+        assert [i for _, i in got.get(q, [])] == [i for _, i in pairs]
+        assert np.allclose([d for d, _ in got.get(q, [])], [d for d, _ in pairs], rtol=1e-12)
+
+
+def test_hadamard_is_a_rotation():
+    rows = np.random.default_rng(1).normal(size=(5, 16))
+    assert np.allclose(np.linalg.norm(hadamard(rows), axis=1), np.linalg.norm(rows, axis=1))
+    assert np.allclose(hadamard(hadamard(rows)), rows)
+
+
+def test_few_vectors_are_all_compared(spark):
+    rows = [(i, [float(i % 7), float(i % 3) - 1.0, 1.0]) for i in range(60)]  # many ties and equal vectors
+    df = frame(spark, rows)
+    want = brute(rows, [r for r in rows if r[0] % 10 == 0], 10)
+    same(found(df, df.where("vec_id % 10 = 0")), want)
+
+
+def test_fewer_candidates_than_asked_for_and_odd_rows(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 2.0]), (1, [0.0, 2.0]), (2, [3.0, 0.0]), (2, [0.0, 1.0])]
+    odd = [(3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [float("inf"), 0.0]), (None, [1.0, 1.0]), (8, []), (9, [1.0])]
+    df = frame(spark, rows + odd)
+    same(found(df, df), brute([*rows, (9, [1.0])], [(0, [1.0, 0.0]), (1, [0.0, 2.0])], 10) | {2: [(1.0, 1), (math.sqrt(2), 0)]})
+    assert nearest(df.limit(0), df).count() == 0 and nearest(df, df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [8192, 40])
+def test_hashed_recall_with_a_cluster_of_copies(spark, block):
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(1500, 16)).tolist() + [[1.0] * 16] * 400 + (np.ones((300, 16)) + rng.normal(size=(300, 16)) * 0.01).tolist()
+    rows = list(enumerate(vectors))
+    df = frame(spark, rows)
+    asked = [r for r in rows if r[0] % 50 == 0]
+    plan = HashPlan(per_bucket=8, block=block)
+    assert plan.axes(len(rows), 16) >= 1
+    got, want = found(df, df.where("vec_id % 50 = 0"), plan=plan), brute(rows, asked, 10)
+    assert all(len(got[q]) == 10 for q, _ in asked)
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= 0.9
+
+
+def test_query(spark, sf):
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    got = {}
+    for r in sorted(queries.QUERIES["op5_neighbours"](spark, sf).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    same(got, brute(rows, [r for r in rows if r[0] % 100 == 0], 10))

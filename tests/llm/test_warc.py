@@ -1,0 +1,81 @@
+import gzip
+import os
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from rosterflow.llm.warc import classify, member, new_folder, read_archives, record, records_in_range, write_archives
+
+SCHEMA = "page_id bigint, url string, html string, digest string, payload string, bytes string, first string, shared string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "x", "x", "x", "x") for r in rows], SCHEMA)
+
+
+LONG = "<p>é" + "a" * 200
+ROWS = [
+    (5, "http://a/", LONG), (3, "http://b/é x\r\nEvil: 1", LONG), (9, None, LONG), (1, "u", "short"), (2, "u", "short"), (4, "u", None),
+    (6, "u", ""), (7, "u", "z" * 100), (8, "u", "z" * 100), (10, "u", "y" * 99), (11, "u", "y" * 99), (None, "u", LONG), (12, "u", "big " * 600_000),
+]
+
+
+def test_round_trip(spark, tmp_path):
+    made = classify(frame(spark, ROWS).repartition(3))
+    archives = write_archives(made, new_folder(f"file://{tmp_path}"))
+    rows = {r.record_id: r for r in read_archives(spark, archives, range_bytes=500).collect()}
+    assert len(rows) == len(ROWS)
+    kinds = {k.rpartition(":")[2]: (r.record_type, r.refers_to and r.refers_to.rpartition(":")[2]) for k, r in rows.items()}
+    revisits = {"5": "3", "9": "3", "": "3", "8": "7"}
+    assert kinds == {("" if i is None else str(i)): ("revisit", revisits[k]) if (k := "" if i is None else str(i)) in revisits else ("response", None) for i, _, _ in ROWS}
+    for i, _, html in ROWS:
+        r = rows[f"urn:page:{'' if i is None else i}"]
+        body = (html or "").encode()
+        assert r.payload_bytes == len(body)
+        assert r.payload == (None if r.record_type == "revisit" else body)
+    assert "\r" not in rows["urn:page:3"].url and rows["urn:page:9"].url is None
+
+
+def test_repeats_and_empty(spark, tmp_path):
+    df = frame(spark, [(1, "u", LONG), (1, "u", LONG), (2, "u", LONG)])
+    assert sorted(r.record_type for r in classify(df).collect()) == ["response", "response", "revisit"]
+    archives = write_archives(classify(df.limit(0)), new_folder(f"file://{tmp_path}"))
+    assert archives.count() == 0 and read_archives(spark, archives).count() == 0
+
+
+@pytest.fixture
+def archive(tmp_path):
+    """Records between chance magics, other gzip members and bytes of no member."""
+    noise = b"\x1f\x8b\x08 no member " + gzip.compress(b"not WARC at all")
+    parts = [noise]
+    for i in range(40):
+        parts.append(member(record(i, "u", os.urandom(50) + b"\x1f\x8b\x08" * (i % 3), b"\0" * 32, "response", None, "d"), level=i % 2 * 6))
+        if i % 7 == 0:
+            parts.append(noise)
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(parts))
+    return f"file://{path}", path.stat().st_size
+
+
+@pytest.mark.parametrize("step", [1, 7, 64, 1000, 10**6])
+def test_each_record_belongs_to_one_range(archive, step):
+    uri, size = archive
+    found = [(at, f["warc-record-id"]) for a in range(0, size, step) for at, f, _ in records_in_range(uri, a, a + step, size)]
+    assert [x for _, x in found] == [f"<urn:page:{i}>" for i in range(40)]
+    assert all(a < b for (a, _), (b, _) in zip(found, found[1:], strict=False))
+
+
+def test_a_broken_record_is_no_silent_loss(tmp_path):
+    whole = member(record(1, "u", os.urandom(5000), b"\0" * 32, "response", None, "d"), 6)
+    path = tmp_path / "b.warc.gz"
+    path.write_bytes(whole[:-100])
+    with pytest.raises(ValueError):
+        list(records_in_range(f"file://{path}", 0, 10**6, len(whole)))
+
+
+def test_archives_are_gzip_files_of_warc_records(spark, tmp_path):
+    archives = write_archives(classify(frame(spark, ROWS[:4])), new_folder(f"file://{tmp_path}")).collect()
+    text = b"".join(gzip.open(a.path.removeprefix("file://")).read() for a in archives)
+    assert text.count(b"WARC/1.1\r\n") == 4 == sum(a.records for a in archives)
+    assert zlib.crc32(text) and F is not None
