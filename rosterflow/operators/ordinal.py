@@ -1,9 +1,10 @@
 """Numbering rows without an un-partitioned window or a hot group.
 
-Both operators here split a long run of rows into blocks of the ordering column.
-That column is a unique BIGINT ordinal, so a block holds at most ``block_rows``
-rows whatever the data looks like.  Rows are numbered inside their block, and the
-rows of the earlier blocks are added from a small table of block counts.
+The operators here split a long run of rows into blocks of the ordering column.
+That column is a BIGINT ordinal, unique among the rows to number, so a block holds
+at most ``block_rows`` rows whatever the data looks like.  Rows are numbered inside
+their block, and the rows of the earlier blocks are added from a small table of block
+counts.  A row without an ordinal comes first, in a block of its own.
 """
 
 from __future__ import annotations
@@ -15,17 +16,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.functions.text import filled
+from rosterflow.session import materialize
 
 BLOCK_ROWS = 250_000
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
 
 _BLOCK, _BEFORE, _HOT, _ROWS = "__block", "__before", "__hot", "__rows"
 _KEY, _ORDER, _SIDE = "__key", "__order", "__side"
+_NO_ORDER = -(2**63)
 
 
 def _block_of(order: str, block_rows: int):
-    return F.expr(f"`{order}` div {int(block_rows)}")
+    """Blocks follow the order; rows without one are the first block, as nulls sort first."""
+    return F.coalesce(F.expr(f"`{order}` div {int(block_rows)}"), F.lit(_NO_ORDER))
+
+
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]):
+    """Equality of the named columns, null being equal to null; the right ones are prefixed."""
+    return reduce(lambda a, b: a & b, (left[n].eqNullSafe(right[f"__r_{n}"]) for n in names))
+
+
+def _prefixed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({n: f"__r_{n}" for n in names})
 
 
 def _rows_before(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -38,7 +50,7 @@ def _rows_before(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dense_ordinal(
     df: DataFrame, order: str, out: str = "row_ord", start: int = 0, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Number all rows ``start, start + 1, ...`` along ``order`` (a unique BIGINT).
+    """Number all rows ``start, start + 1, ...`` along ``order`` (a unique BIGINT), those without one first.
 
     The rows are read twice, for the counts and for themselves, so ``order`` must
     not change between readings; put an expensive frame through
@@ -56,45 +68,37 @@ def dense_ordinal(
     )
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, the largest first; None when there are none.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, side: str | None = None) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, on one ``side`` at least; None when there are none.
 
-    Runs one job over the key columns alone.  Counting combines on the map side, so
-    a hot key costs no more than another.  At most ``max_keys`` keys come back, as a
-    local frame; a key beyond those is numbered like an ordinary one, which is
-    slower but gives the same result.
+    One aggregation over the key columns alone, which combines on the map side, so
+    a hot key costs no more than another.  The keys are written to the shared folder
+    and stay a frame: their number is that of the rows over ``hot_rows`` at most.
     """
-    found = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(_ROWS))
-        .filter(F.col(_ROWS) > hot_rows)
-        .orderBy(F.desc(_ROWS))
-        .limit(max_keys)
-        .select(*keys)
-    )
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    sides = [] if side is None else [side]
+    counts = df.groupBy(*keys, *sides).agg(F.count(F.lit(1)).alias(_ROWS)).filter(F.col(_ROWS) > hot_rows).select(*keys)
+    found = materialize(counts.distinct() if sides else counts, "hot_keys")
+    return None if found.isEmpty() else found
 
 
 def _number_spread(
     df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str, out: str, block_rows: int
 ) -> DataFrame:
-    """Numbering with the rows of ``hot`` keys spread over blocks.
+    """Numbering with the rows of ``hot`` keys spread over blocks; a null in a key is a value like others.
 
-    The table of block counts holds hot keys only.  It joins the rows on the
-    columns they are already partitioned by, so the rows are not shuffled again.
+    The table of block counts holds hot keys only.
     """
-    marked = df.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), keys, "left")
+    known = _prefixed(hot, keys).withColumn(_HOT, F.lit(True))
+    marked = df.join(known, _same(df, known, keys), "left").select(*df.columns, _HOT)
     blocked = marked.withColumn(
         _BLOCK, F.when(F.col(_HOT), _block_of(order, block_rows)).otherwise(F.lit(0))
     )
     counts = blocked.filter(_HOT).groupBy(*keys, _BLOCK).agg(F.count(F.lit(1)).alias(_ROWS))
     local = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy(order))
+    numbered = blocked.withColumn(out, local.cast("bigint"))
+    before = _prefixed(_rows_before(counts, keys), [*keys, _BLOCK])
     return (
-        blocked.withColumn(out, local.cast("bigint"))
-        .join(_rows_before(counts, keys), [*keys, _BLOCK], "left")
+        numbered.join(before, _same(numbered, before, [*keys, _BLOCK]), "left")
         .withColumn(out, F.col(out) + F.coalesce(F.col(_BEFORE), F.lit(0)))
         .select(*df.columns, out)
     )
@@ -108,34 +112,27 @@ def occurrence_number(
     hot_rows: int | None = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
     null_keys: str = "number",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number()`` per key along ``order`` (a unique BIGINT), safe for hot keys.
 
     Rows of an ordinary key share one window partition.  Keys with more than
     ``hot_rows`` rows are found by a small job first, and their rows are spread
-    over blocks; ``hot_rows=None`` skips that job where keys are known to be even.
+    over blocks; ``hot_rows=None`` skips that job where keys are known to be even,
+    and ``hot`` gives the keys where they are known.  The result is the same either way.
     ``null_keys='drop'`` removes rows with a null key, which can pair with nothing;
-    ``'number'`` numbers them as a group of their own.
+    ``'number'`` numbers them as a group of their own.  Rows without an order come first.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if null_keys not in ("number", "drop"):
         raise ValueError(f"null_keys must be 'number' or 'drop', not {null_keys!r}")
-    some_null = reduce(lambda a, b: a | b, (F.col(key).isNull() for key in keys))
-    keyed = df.filter(~some_null)
-    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint")
-
-    searched = keyed if null_keys == "drop" else df
-    hot = None if hot_rows is None else hot_keys(searched, keys, hot_rows)
-    if hot is None:
-        return searched.withColumn(out, plain)
-    numbered = _number_spread(keyed, hot, keys, order, out, block_rows)
     if null_keys == "drop":
-        return numbered
-    if len(keys) == 1:
-        rest = dense_ordinal(df.filter(some_null), order, out, 1, block_rows)
-    else:  # a partly null key still forms a group with its other parts
-        rest = df.filter(some_null).withColumn(out, plain)
-    return numbered.unionByName(rest)
+        df = df.filter(~reduce(lambda a, b: a | b, (F.col(key).isNull() for key in keys)))
+    if hot is None and hot_rows is not None:
+        hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
+    return _number_spread(df, hot, keys, order, out, block_rows)
 
 
 def _pair_by_union(
@@ -182,6 +179,9 @@ def nth_occurrence_join(
 
     Where no key is hot, each side is shuffled once, by key.  Where one is, its rows
     are numbered in blocks, and the sides are joined on (key, n), which spreads it.
+    Hot keys are searched once, in one aggregation over the keys of both sides;
+    ``hot_rows=None`` skips that where keys are known to be even.  Columns of the
+    result that would share a name are refused.
     """
     sheet_key = sheet_key or key
     named = sheet.filter(filled(F.col(sheet_key)))
@@ -189,15 +189,24 @@ def nth_occurrence_join(
         *[F.col(f"`{c}`").alias(c if c == sheet_order else f"{c}_sheet") for c in named.columns]
     )
     sheet_key = f"{sheet_key}_sheet"
+    taken = {c.lower() for c in (*master.columns, out)}
+    clashes = [c for c in (*named.columns, f"{out}_sheet") if c.lower() in taken]
+    if clashes or out.lower() in {c.lower() for c in master.columns}:
+        raise ValueError(f"columns of both sides would share a name, rename them first: {clashes or [out]}")
     if null_keys == "drop":
         master = master.filter(F.col(key).isNotNull())
-    hot = hot_rows is not None and (
-        hot_keys(master, [key], hot_rows) is not None or hot_keys(named, [sheet_key], hot_rows) is not None
-    )
-    if not hot:
+    hot = None
+    if hot_rows is not None:
+        sides = master.select(F.col(key).alias(_KEY), F.lit(0).alias(_SIDE)).unionByName(
+            named.select(F.col(sheet_key).alias(_KEY), F.lit(1).alias(_SIDE))
+        )
+        hot = hot_keys(sides, [_KEY], hot_rows, _SIDE)
+    if hot is None:
         return _pair_by_union(master, named, key, order, sheet_key, sheet_order, out)
-    left = occurrence_number(master, key, order, out, hot_rows, block_rows, null_keys)
-    right = occurrence_number(named, sheet_key, sheet_order, f"{out}_sheet", hot_rows, block_rows, "drop")
+    left = occurrence_number(master, key, order, out, None, block_rows, null_keys, hot.withColumnRenamed(_KEY, key))
+    right = occurrence_number(
+        named, sheet_key, sheet_order, f"{out}_sheet", None, block_rows, "drop", hot.withColumnRenamed(_KEY, sheet_key)
+    )
     on = (left[key] == right[sheet_key]) & (left[out] == right[f"{out}_sheet"])
     return left.repartition(key, out).join(right.repartition(sheet_key, f"{out}_sheet"), on, "left")
 

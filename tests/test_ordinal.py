@@ -57,13 +57,49 @@ def test_occurrence_number_by_two_keys(spark):
     assert {((r.k, r.l), r.o): r.n for r in got} == numbered([((k, l), o) for k, l, o in triples])
 
 
-def test_hot_keys_are_bounded_and_largest_first(spark):
+def test_hot_keys_are_all_found(spark):
     df = spark.createDataFrame([(k,) for k, n in [("a", 9), ("b", 5), ("c", 7), ("d", 1)] for _ in range(n)], "k string")
-    assert [r.k for r in hot_keys(df, ["k"], hot_rows=4).collect()] == ["a", "c", "b"]
-    assert [r.k for r in hot_keys(df, ["k"], hot_rows=4, max_keys=1).collect()] == ["a"]
+    assert sorted(r.k for r in hot_keys(df, ["k"], hot_rows=4).collect()) == ["a", "b", "c"]
     assert hot_keys(df, ["k"], hot_rows=9) is None
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_the_size_of_a_key_does_not_change_its_numbers(spark, seed):
+    """Null keys, partly null keys, a null order and negative orders, with and without hot keys."""
+    rng = random.Random(seed)
+    orders = rng.sample(range(-200, 200), 150)
+    triples = [(rng.choice(["a", "b", None]), rng.choice(["x", None]), o) for o in orders]
+    # one row without an order for each key: several would have no order among themselves
+    triples += [(k, l, None) for k in ("a", None) for l in ("x", None)]
+    df = spark.createDataFrame(triples, "k string, l string, o bigint")
+    for keys in (["k"], ["k", "l"]):
+        some = df if len(keys) == 2 else df.filter("o IS NOT NULL OR (l IS NULL)")
+        plain = sorted(occurrence_number(some, keys, "o", hot_rows=None).collect(), key=str)
+        hot = sorted(occurrence_number(some, keys, "o", hot_rows=5, block_rows=20).collect(), key=str)
+        assert plain == hot and len(plain) == some.count()
+
+
+@pytest.mark.parametrize("hot_rows", [None, 2])
+def test_pairing_keeps_rows_without_key_or_order(spark, hot_rows):
+    master = spark.createDataFrame([("a", None), ("a", -5), ("a", 3), (None, None), (None, 1), ("b", 2)], "name string, row_ord bigint")
+    sheet = spark.createDataFrame([("a", 9), ("a", 4), ("a", 6), ("a", 8), (None, 1), ("", 2)], "name string, sheet_row bigint")
+    out = nth_occurrence_join(master, sheet, "name", "row_ord", hot_rows=hot_rows, block_rows=2)
+    got = {(r.name, r.row_ord): (r.n, r.sheet_row) for r in out.collect()}
+    assert got == {("a", None): (1, 4), ("a", -5): (2, 6), ("a", 3): (3, 8), (None, None): (1, None), (None, 1): (2, None), ("b", 2): (1, None)}
+
+
+def test_sides_that_share_a_column_name_are_refused(spark):
+    rows = spark.createDataFrame([("a", 1)], "name string, sheet_row bigint")
+    with pytest.raises(ValueError, match="sheet_row"):
+        nth_occurrence_join(rows, rows, "name", "sheet_row")
+
+
+def test_dense_ordinal_counts_rows_without_an_order(spark):
+    df = spark.createDataFrame([(None,), (-7,), (5,), (900,), (-1,)], "o bigint")
+    got = {r.o: r.row_ord for r in dense_ordinal(df, "o", block_rows=10).collect()}
+    assert got == {None: 0, -7: 1, -1: 2, 5: 3, 900: 4}
+
+
 @pytest.mark.parametrize("block_rows", [7, 1_000_000])
 def test_dense_ordinal_has_no_gaps(spark, block_rows):
     rng = random.Random(5)
