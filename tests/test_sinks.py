@@ -42,6 +42,46 @@ def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, tmp_path, rows,
     assert rows(spark.table(name)) == [(2,), (3,)]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_a_reload_of_a_partitioned_table_holds_the_new_rows_alone(spark, tmp_path, rows, name, fmt):
+    spark.createDataFrame([(1, "a"), (2, "b")], "n int, p string").write.format(fmt).partitionBy("p").option(
+        "path", str(tmp_path / "first")).saveAsTable(name)
+    sinks.write_truncate_append(spark.createDataFrame([("a", 5), ("c", 6)], "p string, n int"), name, str(tmp_path))
+    assert rows(spark.table(name), "n", "p") == [(5, "a"), (6, "c")]
+    sinks.write_replace(spark.createDataFrame([("d", 7), ("c", 8)], "p string, n int"), name, str(tmp_path))
+    assert rows(spark.table(name), "n", "p") == [(7, "d"), (8, "c")]
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["p"]
+    assert rows(spark.table(name).where("p = 'c'"), "n") == [(8,)]
+    sinks.append_to(spark.createDataFrame([("e", 9)], "p string, n int"), name)
+    assert spark.table(name).count() == 3
+
+
+def test_a_reload_keeps_comment_and_properties(spark, tmp_path, rows, name):
+    spark.sql(f"CREATE TABLE {name} (n INT COMMENT 'a number') USING parquet COMMENT 'it''s here' TBLPROPERTIES ('owner.team' = 'x')")
+    sinks.write_truncate_append(spark.createDataFrame([(1,)], "n int"), name, str(tmp_path))
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert info["Comment"] == "it's here" and info["Provider"].lower() == "parquet"
+    assert ("owner.team", "x") in [tuple(r) for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()]
+    assert [c.description for c in spark.catalog.listColumns(name)] == ["a number"]
+    assert rows(spark.table(name)) == [(1,)]
+
+
+def test_a_managed_table_is_replaced_after_the_new_one_is_written(spark, tmp_path, rows, name):
+    spark.createDataFrame([(1,)], "n int").write.saveAsTable(name)
+    with pytest.raises(Exception, match="boom"):
+        sinks.write_replace(spark.range(1).selectExpr("raise_error('boom') AS s"), name, str(tmp_path))
+    assert rows(spark.table(name)) == [(1,)]
+    sinks.write_replace(spark.createDataFrame([("x",)], "s string"), name, str(tmp_path))
+    assert rows(spark.table(name)) == [("x",)]
+
+
+def test_old_versions_go(spark, tmp_path, rows, name):
+    for n in range(4):
+        sinks.write_replace(spark.range(n, n + 1), name, str(tmp_path), keep_versions=2)
+        assert rows(spark.table(name)) == [(n,)]
+    assert len(list((tmp_path / name).glob("version=*"))) == 2
+
+
 def test_append_to_goes_by_name(spark, tmp_path, rows, name):
     sinks.write_replace(spark.createDataFrame([(1, "a")], "n int, s string"), name, str(tmp_path))
     sinks.append_to(spark.createDataFrame([("b", 2)], "s string, n int"), name)
