@@ -21,7 +21,7 @@ def map_values(col: Column, mapping: Mapping, unmapped: str = "null") -> Column:
     if unmapped not in ("null", "keep"):
         raise ValueError(f"unmapped must be 'null' or 'keep', not {unmapped!r}")
     if len(mapping) > MAX_LITERAL_ENTRIES:
-        raise ValueError(f"{len(mapping)} entries are too many for a literal map; use lookup_join")
+        raise ValueError(f"{len(mapping)} entries are too many for a literal map; join a frame of them (operators.joins.lookup_join)")
     mapped = first_match([col], mapping.items())
     return F.coalesce(mapped, col.cast("string")) if unmapped == "keep" else mapped
 

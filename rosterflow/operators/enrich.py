@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.functions.mapping import first_match, map_values, shadowed_rules
 from rosterflow.functions.text import scale_hundredths
-from rosterflow.operators.joins import MAX_BROADCAST_ROWS, left_join_hot_right, lookup_join
+from rosterflow.operators.joins import left_join_hot_right, lookup_join
 
 
 def explode_members(
@@ -33,18 +33,26 @@ def employees_with_teams(
     return left_join_hot_right(employees, pairs, [id_col])
 
 
-def assign_split(
-    employees: DataFrame, split: DataFrame, team: str = "team_name", max_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def assign_split(employees: DataFrame, split: DataFrame, team: str = "team_name") -> DataFrame:
     """Add the ``split`` of the employee's team, looked up by team name."""
     lookup = split.select(F.col("team").alias(team), "split")
-    return lookup_join(employees, lookup, team, max_rows)
+    return lookup_join(employees, lookup, team)
 
 
 def with_company_name(
-    df: DataFrame, companies: Mapping, id_col: str = "company_id", out: str = "company_name"
+    df: DataFrame, companies: Mapping | DataFrame, id_col: str = "company_id", out: str = "company_name"
 ) -> DataFrame:
-    """Replace the company id by its name; ids without a name stay, as text."""
+    """Replace the company id by its name; ids without a name stay, as text.
+
+    ``companies`` is a small map, or a frame of (id, name) with one row for each id,
+    however many those are.
+    """
+    if isinstance(companies, DataFrame):
+        number, name = companies.columns[:2]
+        lookup = companies.select(F.col(number).alias(id_col), F.col(name).cast("string").alias("__company"))
+        named = lookup_join(df, lookup, id_col)
+        columns = [F.col(f"`{c}`") for c in df.columns if c not in (id_col, out)]
+        return named.select(*columns, F.coalesce("__company", F.col(id_col).cast("string")).alias(out))
     return df.withColumn(out, map_values(F.col(id_col), companies, "keep")).drop(
         *([id_col] if id_col != out else [])
     )

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.operators.joins import broadcast_if_small
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -53,4 +52,4 @@ def distinct_teams(df: DataFrame, column: str = "team_name") -> DataFrame:
 def known_team_rows(df: DataFrame, teams: DataFrame, column: str = "team_name") -> DataFrame:
     """Rows whose team is in ``teams``; the distinct teams are broadcast after a size check."""
     known = teams.select(F.col(teams.columns[0]).alias(column)).distinct()
-    return df.join(broadcast_if_small(known), column, "left_semi")
+    return df.join(known, column, "left_semi")

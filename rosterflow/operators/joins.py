@@ -1,4 +1,4 @@
-"""Join helpers: size-checked lookups and left joins with a hot right side."""
+"""Join helpers: lookups and left joins with a hot right side."""
 
 from __future__ import annotations
 
@@ -8,26 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup row is a few short texts, so this many rows stay within some tens of
-# megabytes on every executor.
-MAX_BROADCAST_ROWS = 200_000
 
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Left join to a dimension table.
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when a bounded count shows it to be small.
-
-    A larger one is returned unmarked: Spark then shuffles both sides, and adaptive
-    execution splits the partitions of hot keys.
+    Without a hint: Spark broadcasts the lookup if its measured bytes allow it, and
+    else shuffles both sides, where adaptive execution splits hot keys of ``df``.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
-def lookup_join(
-    df: DataFrame, lookup: DataFrame, on: str | Sequence[str], max_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
-    """Left join to a dimension table, broadcast only after a size check."""
-    return df.join(broadcast_if_small(lookup, max_rows), on, "left")
+    return df.join(lookup, on, "left")
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:

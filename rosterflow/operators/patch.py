@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.model import UpdateGroup
+from rosterflow.operators.joins import anti_join
 
 
 def _explode_cells(df: DataFrame, cells: list[tuple[Column, Column]], keep: Sequence[str]) -> DataFrame:
@@ -81,28 +82,42 @@ def apply_patches(
     row: str = "sheet_row",
     duplicates: str = "fail",
     order: str | None = None,
+    unknown: str = "fail",
 ) -> DataFrame:
     """The sheet after its patches.  A patch may set null, so presence is kept apart.
 
     Two patches for one cell raise at run time with ``duplicates='fail'``; with
-    ``'last'`` the one with the highest ``order`` wins.  The patches are folded to
-    one row per sheet row by an aggregation that combines before the shuffle.
+    ``'last'`` the one with the highest ``order`` wins, null being the lowest and the larger
+    value winning a tie.  A patch for a row that the sheet lacks, or a field that isn't among
+    ``fields``, raises at run time too; with ``unknown='skip'`` it is left out, and
+    :func:`rejected_patches` lists it.  The patches are folded to one row per sheet row by
+    an aggregation that combines before the shuffle.
     """
     if duplicates not in ("fail", "last"):
         raise ValueError(f"duplicates must be 'fail' or 'last', not {duplicates!r}")
+    if unknown not in ("fail", "skip"):
+        raise ValueError(f"unknown must be 'fail' or 'skip', not {unknown!r}")
     if duplicates == "last" and order is None:
         raise ValueError("duplicates='last' needs an order column")
-    folded = []
+    known_field = F.coalesce(F.col("field").isin(list(fields)), F.lit(False))
+    folded = [F.count_if(~known_field).alias("__other")]
     for name in fields:
         hit = F.col("field") == name
         folded.append(F.count_if(hit).alias(f"__n_{name}"))
         boxed = F.when(hit, F.struct("value"))
-        newest = F.max_by(boxed, F.when(hit, F.col(order))) if duplicates == "last" else F.max(boxed)
+        newest = F.max_by(boxed, F.when(hit, F.struct(order, "value"))) if duplicates == "last" else F.max(boxed)
         folded.append(newest.alias(f"__v_{name}"))
     wide = patches.groupBy(F.col(row).alias("__row")).agg(*folded)
-    joined = sheet.join(wide, sheet[row] == wide["__row"], "left")
+    # with 'fail', rows that only the patches have must come through to raise
+    joined = sheet.withColumn("__here", F.lit(True)).join(
+        wide, sheet[row] == wide["__row"], "full_outer" if unknown == "fail" else "left"
+    )
+    kind = sheet.schema[row].dataType
+    where = F.coalesce(F.col("__row").cast("string"), F.lit("null"))
+    checked = F.when(F.col("__here").isNull(), F.raise_error(F.concat(F.lit("a patch for a row that isn't there: "), where)).cast(kind))
+    checked = checked.when(F.col("__other") > 0, F.raise_error(F.concat(F.lit("a patch for an unknown field in row "), where)).cast(kind))
 
-    patched = {}
+    patched = {row: checked.otherwise(F.col(row))} if unknown == "fail" else {}
     for name in fields:
         count, value = F.col(f"__n_{name}"), F.col(f"__v_{name}")["value"]
         new = value.cast(sheet.schema[name].dataType)
@@ -112,3 +127,9 @@ def apply_patches(
             result = F.when(count > 1, F.raise_error(text).cast(sheet.schema[name].dataType)).otherwise(result)
         patched[name] = result
     return joined.select(*[patched[c].alias(c) if c in patched else F.col(c) for c in sheet.columns])
+
+
+def rejected_patches(sheet: DataFrame, patches: DataFrame, fields: Sequence[str], row: str = "sheet_row") -> DataFrame:
+    """The patches for rows that the sheet lacks or fields that aren't among ``fields``."""
+    known = F.coalesce(F.col("field").isin(list(fields)), F.lit(False))
+    return patches.filter(~known).unionByName(anti_join(patches.filter(known), sheet, [row]))

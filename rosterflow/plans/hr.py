@@ -63,7 +63,7 @@ EMPLOYEE_NAMES = {"created_at": "start_date", "terminated_on": "end_date", "iden
 
 
 def employees_table(
-    employees: DataFrame, teams: DataFrame, split: DataFrame | None, companies: Mapping[int, str]
+    employees: DataFrame, teams: DataFrame, split: DataFrame | None, companies: Mapping[int, str] | DataFrame
 ) -> DataFrame:
     """Employees with their team, company name and split; one row per team of theirs.
 
@@ -78,7 +78,7 @@ def employees_table(
 def payroll_table(
     contracts: DataFrame,
     employees: DataFrame,
-    companies: Mapping[int, str],
+    companies: Mapping[int, str] | DataFrame,
     rules: Sequence[Sequence],
     strict: bool = True,
 ) -> DataFrame:

@@ -27,22 +27,21 @@ TALENT_SCORES_SCHEMA = "Performance int, Potential int"
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False
 ) -> DataFrame:
     """Records as delivered, by a given schema, so nothing is scanned to infer one.
 
-    ``multiline=True`` reads files that hold one JSON array each: a file is then
-    one task.  Land large payloads as JSON Lines and pass ``multiline=False``;
-    those files split.
+    Files are JSON Lines, which split.  ``multiline=True`` reads files that hold one JSON
+    array each: a file is then one task.  A record that can't be read fails the job.
     """
-    return spark.read.schema(schema).json(path, multiLine=multiline)
+    return spark.read.schema(schema).json(path, multiLine=multiline, mode="FAILFAST")
 
 
 def read_talent_scores(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Talent scores as ``performance``, ``potential``."""
+    """Talent scores as ``performance``, ``potential``; a cell that is no number fails the job."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.schema(TALENT_SCORES_SCHEMA).option("header", True)
+        reader = reader.schema(TALENT_SCORES_SCHEMA).option("header", True).option("mode", "FAILFAST")
     scores = reader.load(path)
     return scores.selectExpr(
         "CAST(Performance AS INT) AS performance", "CAST(Potential AS INT) AS potential"

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterflow.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 
 FETCH_SIZE = 160_000
 
@@ -97,9 +96,7 @@ def read_recruiting(spark: SparkSession, which: str, source: str | dict[str, str
     return read_table(spark, source, columns)
 
 
-def read_with_row_ord(
-    spark: SparkSession, path: str, out: str = "row_ord", max_files: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def read_with_row_ord(spark: SparkSession, path: str, out: str = "row_ord") -> DataFrame:
     """Parquet rows with their place in the table: files by path, rows by position.
 
     No row is sorted.  The row's place in its file comes from the scan; what is
@@ -112,7 +109,7 @@ def read_with_row_ord(
     earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     before = files.select("__file", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
     return (
-        placed.join(broadcast_if_small(before, max_files), "__file")
+        placed.join(before, "__file")
         .withColumn(out, F.col("__at") + F.col("__before"))
         .drop("__file", "__at", "__before")
     )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterflow.operators import enrich, frames, matrix
-from rosterflow.operators.joins import broadcast_if_small, left_join_hot_right, lookup_join
+from rosterflow.operators.joins import left_join_hot_right, lookup_join
 from rosterflow.plans.hr import PAYROLL_UNUSED_FIELDS, PRIVATE_FIELDS, employees_table, payroll_table
 from rosterflow.plans.talent import talent_matrix_table
 
@@ -35,26 +35,37 @@ def test_member_ids_may_be_text(spark, rows):
     assert rows(enrich.employees_with_teams(staff(spark), text)) == rows(enrich.employees_with_teams(staff(spark), teams(spark)))
 
 
-@pytest.mark.parametrize("max_rows", [0, 100])
-def test_assign_split_is_the_same_with_and_without_broadcast(spark, rows, max_rows):
+@pytest.mark.parametrize("limit", ["-1", "1m"])
+def test_assign_split_is_the_same_with_and_without_broadcast(spark, rows, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     df = spark.createDataFrame([(1, "Data"), (2, "Ops"), (3, None)], "id bigint, team_name string")
     split = spark.createDataFrame([("HQ", "Data"), ("Field", "Data"), ("X", None)], "split string, team string")
-    out = enrich.assign_split(df, split, max_rows=max_rows)
-    assert rows(out, "id", "split") == [(1, "Field"), (1, "HQ"), (2, None), (3, None)]
+    try:
+        assert rows(enrich.assign_split(df, split), "id", "split") == [(1, "Field"), (1, "HQ"), (2, None), (3, None)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_broadcast_only_after_a_size_check(spark):
+def test_a_lookup_is_broadcast_by_its_bytes_alone(spark):
     df = spark.range(10).toDF("id")
     conf = "spark.sql.autoBroadcastJoinThreshold"
-    spark.conf.set(conf, "-1")
-    try:
-        small = lookup_join(df, spark.range(5).toDF("id"), "id")._jdf.queryExecution().executedPlan().toString()
-        large = lookup_join(df, spark.range(5).toDF("id"), "id", max_rows=4)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset(conf)
-    assert "BroadcastHashJoin" in small
-    assert "BroadcastHashJoin" not in large
-    assert broadcast_if_small(df, 9) is df
+    plans = []
+    for limit in ("1m", "-1"):
+        spark.conf.set(conf, limit)
+        try:
+            plans.append(lookup_join(df, spark.range(5).toDF("id"), "id")._jdf.queryExecution().executedPlan().toString())
+        finally:
+            spark.conf.unset(conf)
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+
+
+def test_companies_may_be_a_frame_of_any_size(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (700, "b"), (None, "c"), (9999, "d")], "company_id bigint, v string")
+    table = spark.range(1000).selectExpr("id", "concat('c', id) AS name")
+    named = enrich.with_company_name(df, table)
+    assert rows(named, "v", "company_name") == [("a", "c1"), ("b", "c700"), ("c", None), ("d", "9999")]
+    with pytest.raises(ValueError):
+        enrich.with_company_name(df, {i: str(i) for i in range(1000)})
 
 
 def test_left_join_hot_right_equals_a_left_join(spark, rows):

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from rosterflow.model import UpdateGroup
-from rosterflow.operators.patch import apply_patches, build_field_patches, build_patches
+from rosterflow.operators.patch import apply_patches, build_field_patches, build_patches, rejected_patches
 
 GROUPS = [
     UpdateGroup("u1", ["title"], ["title", "company"], {"title": "F", "company": "H"}),
@@ -67,7 +67,7 @@ def patches(spark, *items):
 
 def test_apply_keeps_unpatched_cells_and_can_set_null(spark, rows):
     todo = patches(spark, (2, "title", "new", 1), (3, "title", None, 1), (4, "level", "9", 1), (99, "title", "nowhere", 1))
-    out = apply_patches(sheet(spark), todo, ["title", "level"])
+    out = apply_patches(sheet(spark), todo, ["title", "level"], unknown="skip")
     assert out.schema == sheet(spark).schema
     assert rows(out) == [(2, "a", "new", 1), (3, "b", None, 2), (4, "c", None, 9)]
 
@@ -94,3 +94,17 @@ def test_bad_arguments(spark):
 
 def test_no_patches_leave_the_sheet_alone(spark, rows):
     assert rows(apply_patches(sheet(spark), patches(spark, (2, "x", "", 1)).filter("false"), ["title"])) == rows(sheet(spark))
+
+
+def test_patches_for_unknown_rows_and_fields(spark, rows):
+    for todo, text in ((patches(spark, (99, "title", "x", 1)), "99"), (patches(spark, (2, "nothing", "x", 1)), "unknown field")):
+        with pytest.raises(Exception, match=text):
+            apply_patches(sheet(spark), todo, ["title"]).collect()
+        assert rows(apply_patches(sheet(spark), todo, ["title"], unknown="skip")) == rows(sheet(spark))
+        assert rejected_patches(sheet(spark), todo, ["title"]).count() == 1
+
+
+def test_the_last_patch_wins_without_an_order_and_in_a_tie(spark, rows):
+    todo = patches(spark, (2, "title", "a", None), (2, "title", "b", None))
+    got = {r.sheet_row: r.title for r in apply_patches(sheet(spark), todo, ["title"], duplicates="last", order="seq").collect()}
+    assert got[2] == "b"

@@ -62,7 +62,7 @@ CASES = {
         many(s).withColumn("status", F.lit("s")), ["k"], ["k", "noise"], "day", "day", largest=["v"]
     ),
     "payroll, hot employee": lambda s: payroll_with_company(many(s, "employee_id"), few(s, "id"), ["w"]),
-    "lookup beyond the broadcast bound": lambda s: lookup_join(many(s), few(s), "k", max_rows=10),
+    "lookup, not broadcast": lambda s: lookup_join(many(s), few(s), "k"),
     "difference report, hot name": lambda s: roster_diff(
         many(s).select(F.concat(F.lit("n"), "k").alias("name"), "v", "noise", F.lit("a").alias("title")),
         few(s).select(F.concat(F.lit("n"), "k").alias("name"), F.lit("b").alias("title"), F.col("w").alias("sheet_row")),
