@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from acceptance.registry import query
+from acceptance.registry import ORACLES, query
 from acceptance.standins import (
     COMPANIES,
     COMPANY_SQL,
@@ -156,19 +156,25 @@ _AMOUNT_SQL = "TRY_CAST(nullif(replace(replace(trim({0}), '.', ''), ',', '.'), '
 _DATE_SQL = "CAST(try_strptime(nullif(trim({0}), ''), '%d/%m/%Y') AS DATE)"
 _END_SQL = f"CASE WHEN {{0}} IS NULL OR trim({{0}}) = '' THEN DATE '2040-01-01' ELSE {_DATE_SQL} END"
 _STATE_COLUMNS = "full_name, company, id, job_title, split, team, sub_team, manager, profile, seniority"
+# the text of the largest amount; of equal amounts the larger text, a missing one being the smallest
+_LARGEST_TEXT = (
+    "nullif(struct_extract(max({{'a': coalesce(a.{0}, -1000000000000), 't': coalesce(a.{1}, chr(1))}}), 't'), chr(1))"
+)
 _LATEST_CTE = f"""{division_cte("solar")},
 parsed AS (SELECT *, {_DATE_SQL.format("start_date")} AS started, {_END_SQL.format("end_date")} AS ended,
   {_AMOUNT_SQL.format("fix_salary")} AS salary_amount, {_AMOUNT_SQL.format("bonus")} AS bonus_amount FROM wide),
 f AS (SELECT full_name, company, max(started) AS latest FROM parsed WHERE division LIKE '%Solar%'
   AND end_date NOT LIKE '%pe%' AND end_date NOT LIKE '%20%' GROUP BY full_name, company),
 state AS (SELECT {", ".join("a." + c.strip() for c in _STATE_COLUMNS.split(","))}, min(a.status) AS status,
-  nullif(max(a.ended), DATE '2040-01-01') AS end_date, max(a.salary_amount) AS fix_salary, max(a.bonus_amount) AS bonus
+  nullif(max(a.ended), DATE '2040-01-01') AS end_date, max(a.salary_amount) AS fix_salary, max(a.bonus_amount) AS bonus,
+  {_LARGEST_TEXT.format("salary_amount", "fix_salary")} AS fix_salary_text,
+  {_LARGEST_TEXT.format("bonus_amount", "bonus")} AS bonus_text
   FROM f JOIN parsed a ON a.full_name = f.full_name AND a.company = f.company AND a.started = f.latest
   GROUP BY {", ".join("a." + c.strip() for c in _STATE_COLUMNS.split(","))}),
 rows_ AS (SELECT full_name, company, sheet_row, status, split, team, sub_team, job_title, manager, profile, seniority,
   {_DATE_SQL.format("end_date")} AS end_date, {_AMOUNT_SQL.format("fix_salary")} AS fix_salary,
   {_AMOUNT_SQL.format("bonus")} AS bonus FROM sheet),
-diff AS (SELECT m.full_name, m.company, s.sheet_row, {", ".join(
+diff AS (SELECT m.full_name, m.company, s.sheet_row, m.fix_salary_text, m.bonus_text, {", ".join(
     f"m.{f} AS {f}_master, s.{f} AS {f}_sheet, m.{f} IS DISTINCT FROM s.{f} AS differences_{f}"
     for f in contract_plans.DIFF_FIELDS)}
   FROM state m JOIN rows_ s ON m.full_name = s.full_name AND m.company = s.company WHERE m.full_name <> '' AND m.company <> '')"""
@@ -207,28 +213,24 @@ def latest_contract_diff(spark, sf_dir):
     )
 
 
-_TEXT_FIELDS = [f for f in contract_plans.PATCHED_FIELDS if f not in ("end_date", "fix_salary", "bonus")]
+# Spelled out, as a check on the library's own lists: the fields, the columns of their texts, their letters.
+_PATCHED = (
+    ("status", "status_master", "J"), ("end_date", "strftime(end_date_master, '%d/%m/%Y')", "V"), ("split", "split_master", "H"),
+    ("team", "team_master", "P"), ("sub_team", "sub_team_master", "Q"), ("job_title", "job_title_master", "F"),
+    ("manager", "manager_master", "T"), ("fix_salary", "fix_salary_text", "Y"), ("bonus", "bonus_text", "Z"),
+)
 
 
 @query(
     f"WITH {_LATEST_CTE} "
     + " UNION ALL ".join(
-        [
-            f"SELECT sheet_row, '{f}' AS field, {f}_master AS value, "
-            f"concat('{contract_plans.FIELD_CELLS[f]}', sheet_row) AS cell FROM diff WHERE differences_{f}"
-            for f in _TEXT_FIELDS
-        ]
-        + [
-            "SELECT sheet_row, 'end_date' AS field, strftime(end_date_master, '%d/%m/%Y') AS value, "
-            f"concat('{contract_plans.FIELD_CELLS['end_date']}', sheet_row) AS cell FROM diff WHERE differences_end_date"
-        ]
+        f"SELECT sheet_row, '{field}' AS field, {text} AS value, concat('{letter}', sheet_row) AS cell FROM diff WHERE differences_{field}"
+        for field, text, letter in _PATCHED
     )
 )
 def build_field_patches(spark, sf_dir):
     diff = contract_plans.latest_contract_diff(wide_master(spark, sf_dir), wide_sheet(spark, sf_dir, "solar"))
-    patches = contract_plans.latest_contract_patches(diff)
-    # The text of an amount is not unique among equal amounts, so SQL states the other fields.
-    return patches.filter(~F.col("field").isin("fix_salary", "bonus")).drop("group")
+    return contract_plans.latest_contract_patches(diff).drop("group")
 
 
 # ----------------------------------------------------------- employees, payroll
@@ -294,6 +296,18 @@ def employees_table(spark, sf_dir):
     return hr_plans.employees_table(employees(spark, sf_dir), teams(spark, sf_dir), split, COMPANIES)
 
 
+def _companies(spark):
+    """The companies as a frame, with many more that nobody works for."""
+    more = spark.range(1000, 3000).selectExpr("id", "concat('company ', id) AS name")
+    return spark.createDataFrame(list(COMPANIES.items()), "id bigint, name string").unionByName(more)
+
+
+@query(ORACLES["employees_table"])
+def employees_table_by_lookup(spark, sf_dir):
+    split = spark.createDataFrame([("view", "HQ"), ("click", "Field")], "team string, split string")
+    return hr_plans.employees_table(employees(spark, sf_dir), teams(spark, sf_dir), split, _companies(spark))
+
+
 @query(
     """SELECT o.o_orderkey AS id, CAST(floor(o.o_totalprice) AS DOUBLE) / 100 AS salary_amount, c.c_mktsegment AS company_name,
   CASE WHEN c.c_mktsegment = 'BUILDING' AND o.o_orderkey % 5 = 1 THEN 'permanent'
@@ -341,6 +355,14 @@ def payroll_table(spark, sf_dir):
     return _as_double(payroll, ["working_hours", "salary_amount"])
 
 
+@query(ORACLES["payroll_table"])
+def payroll_table_by_lookup(spark, sf_dir):
+    unused = {c: F.lit(None).cast("string") for c in hr_plans.PAYROLL_UNUSED_FIELDS}
+    versions = contracts(spark, sf_dir).withColumns(unused)
+    payroll = hr_plans.payroll_table(versions, employees(spark, sf_dir), _companies(spark), CONTRACT_RULES)
+    return _as_double(payroll, ["working_hours", "salary_amount"])
+
+
 @query(
     """SELECT o.o_orderkey AS id, o.o_custkey AS employee_id, CAST(e.event_id AS DOUBLE) / 100 AS bonus
 FROM orders o LEFT JOIN events e ON o.o_custkey = e.user_id"""

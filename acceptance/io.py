@@ -98,7 +98,7 @@ _RECORD_FIELDS = [c for c in EMPLOYEES if c not in ("bank_number", "state")]
 def read_json_records(spark, sf_dir):
     path = fresh(spark, "employees")
     employees(spark, sf_dir).write.json(path)
-    return sources.read_json_records(spark, path, EMPLOYEES_SCHEMA, multiline=False).drop("team_ids")
+    return sources.read_json_records(spark, path, EMPLOYEES_SCHEMA).drop("team_ids")
 
 
 @query(f"SELECT {_SCORES['performance']} AS performance, {_SCORES['potential']} AS potential FROM customer")
@@ -134,6 +134,27 @@ def write_truncate_append(spark, sf_dir):
     return spark.table(name)
 
 
+@query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def write_truncate_append_partitioned(spark, sf_dir):
+    """A table in one directory per nation, first filled with other rows in other partitions."""
+    name, root = fresh_table("supplier"), shared_dir(spark)
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    old = supplier.selectExpr("s_suppkey", "'old' AS s_name", "s_nationkey % 5 + 100 AS s_nationkey")
+    sinks.write_replace(old, name, root, partition_by=["s_nationkey"])
+    sinks.write_truncate_append(supplier, name, root, keep_versions=1)
+    return spark.table(name)
+
+
+@query("SELECT s_name, s_suppkey, s_nationkey FROM supplier")
+def write_replace_partitioned(spark, sf_dir):
+    """The new table keeps the partitioning and holds the new rows alone."""
+    name, root = fresh_table("supplier"), shared_dir(spark)
+    supplier = table(spark, sf_dir, "supplier")
+    sinks.write_replace(supplier.selectExpr("s_suppkey", "s_nationkey % 5 AS s_nationkey"), name, root, partition_by=["s_nationkey"])
+    sinks.write_replace(supplier.select("s_name", "s_suppkey", "s_nationkey"), name, root)
+    return spark.table(name)
+
+
 @query("SELECT n_nationkey, n_name FROM nation UNION ALL SELECT s_nationkey, s_name FROM supplier")
 def append_rows(spark, sf_dir):
     name, root = fresh_table("names"), shared_dir(spark)

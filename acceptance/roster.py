@@ -67,13 +67,13 @@ SELECT s.sheet_row, s.name_tl AS emp_name,
   CASE WHEN p.update_1 = 1 THEN p.job_title ELSE s.job_title_tl END AS job_title,
   CASE WHEN p.update_1 = 1 THEN p.status ELSE s.status_tl END AS status,
   CASE WHEN p.update_2 = 1 THEN p.team ELSE s.team_tl END AS team,
-  CASE WHEN p.update_manager = 1 THEN p.manager ELSE s.manager_tl END AS manager
+  CASE WHEN p.update_manager = 1 THEN p.manager ELSE s.manager_tl END AS manager,
+  CASE WHEN p.update_salaries = 1 THEN p.fix_salary ELSE s.fix_salary_tl END AS fix_salary
 FROM sheet s LEFT JOIN plan p ON s.sheet_row = p.sheet_row"""
 )
 def apply_patches(spark, sf_dir):
-    patches = patches_of(_narrow_plan(spark, sf_dir), TEXT_GROUPS)
-    sheet = narrow_sheet(spark, sf_dir).drop("fix_salary")
-    return patched(sheet, patches, ["job_title", "status", "team", "manager"])
+    patches = patches_of(_narrow_plan(spark, sf_dir), URGENT.groups)
+    return patched(narrow_sheet(spark, sf_dir), patches, ["job_title", "status", "team", "manager", "fix_salary"])
 
 
 @query(
@@ -169,6 +169,35 @@ def _dense_ordinal(spark, sf_dir):
     return dense_ordinal(orders, "back", "place", start=1, block_rows=4_000).drop("back")
 
 
+@query(
+    """SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey - 500 END AS ord,
+  row_number() OVER (ORDER BY CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey - 500 END NULLS FIRST) AS place FROM orders"""
+)
+def dense_ordinal_null_order(spark, sf_dir):
+    """Rows without an order come first; negative orders; many blocks."""
+    orders = table(spark, sf_dir, "orders").selectExpr("CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey - 500 END AS ord")
+    return dense_ordinal(orders, "ord", "place", start=1, block_rows=4_000)
+
+
+@query(
+    """WITH m AS (SELECT CASE WHEN o_orderkey % 9 <> 0 THEN o_orderpriority END AS name,
+    CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey - 500 END AS ord FROM orders),
+  n AS (SELECT name, ord, row_number() OVER (PARTITION BY name ORDER BY ord NULLS FIRST) AS n FROM m),
+  s AS (SELECT o_orderpriority AS name, o_orderkey + 2 AS sheet_row,
+    row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS n FROM orders WHERE o_orderpriority NOT LIKE '4%')
+SELECT n.name, n.ord, n.n, s.sheet_row FROM n LEFT JOIN s ON n.name = s.name AND n.n = s.n"""
+)
+def nth_occurrence_join_hot(spark, sf_dir):
+    """All names are hot, some rows have no name or no order, one name is not on the sheet."""
+    orders = table(spark, sf_dir, "orders")
+    master = orders.selectExpr(
+        "CASE WHEN o_orderkey % 9 <> 0 THEN o_orderpriority END AS name", "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey - 500 END AS ord"
+    )
+    sheet = orders.selectExpr("CASE WHEN o_orderpriority NOT LIKE '4%' THEN o_orderpriority ELSE '' END AS name", "o_orderkey + 2 AS sheet_row")
+    joined = pair_rows(master, sheet, "name", "ord", hot_rows=100, block_rows=500)
+    return joined.select("name", "ord", "n", "sheet_row")
+
+
 @query(f"WITH {WIDE_CTE} SELECT {', '.join(ROSTER_COLUMNS)} FROM wide")
 def project_roster(spark, sf_dir):
     return projected(wide_master(spark, sf_dir))
