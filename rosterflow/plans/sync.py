@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from rosterflow.functions.text import null_text
 from rosterflow.model import Division
 from rosterflow.operators.frames import stack_frames
 from rosterflow.operators.ordinal import append_rows
-from rosterflow.operators.patch import apply_patches, build_patches
+from rosterflow.operators.patch import build_patches
 from rosterflow.operators.roster import division_filter, project_roster, roster_sync_plan
 from rosterflow.session import materialize
 
@@ -58,11 +59,36 @@ def roster_sync(
     rows = append_rows(sheet, new.select(*cells, F.col(order).alias("__order")), "__order", sheet_order)
     inserts = rows.select(*sheet.columns)
 
-    written = list(dict.fromkeys(f for g in division.groups for f in g.fields if f in sheet.columns))
-    new_sheet = stack_frames(apply_patches(sheet, patches, written, sheet_order), inserts)
+    new_sheet = stack_frames(_updated(sheet, plan, division, sheet_order), inserts)
     return RosterSync(plan, inserts, patches, new_sheet)
 
 
+def _updated(sheet: DataFrame, plan: DataFrame, division: Division, sheet_order: str) -> DataFrame:
+    """The sheet with the cells that the plan's flags name, which has a row for a sheet row at most.
+
+    The same cells as ``patches`` lists, taken from the plan as it is instead of from
+    cells folded to rows again.
+    """
+    flagged = {}
+    for group in division.groups:
+        for name in group.fields:
+            if name in sheet.columns:
+                test = F.col(group.name) == 1
+                flagged[name] = flagged[name] | test if name in flagged else test
+    if not flagged:
+        return sheet
+    updates = plan.filter(reduce(lambda a, b: a | b, flagged.values())).select(
+        F.col(sheet_order).alias("__row"),
+        *[F.when(test, F.struct(F.col(name).cast("string").alias("value"))).alias(f"__{name}") for name, test in flagged.items()],
+    )
+    joined = sheet.join(updates, sheet[sheet_order] == updates["__row"], "left")
+    new = {
+        name: F.when(F.col(f"__{name}").isNotNull(), F.col(f"__{name}.value").cast(sheet.schema[name].dataType)).otherwise(F.col(name))
+        for name in flagged
+    }
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in sheet.columns])
+
+
 def master_snapshot(master: DataFrame, division: Division) -> DataFrame:
     """The division's master rows as they stand, each once, ready for ``publish_snapshot``."""
     return project_roster(division_filter(master, division))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,15 +38,15 @@ def build_session(app: str = "rosterflow", master: str | None = None, **extra: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a temporary folder of its own; a
-    cluster session is refused, since its executors would not see one.
+    Where it is unset, a local session takes a folder within its warehouse; a cluster
+    session is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="rosterflow-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
@@ -57,9 +56,19 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
 
     Later jobs then read only the columns and row groups they need, and the loss of
     an executor does not bring back the joins behind the frame.  The files stay
-    until the folder is cleared.
+    until :func:`release` or the folder is cleared.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.materialized_at = path
+    return written
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of frames that :func:`materialize` gave; nothing may read them any more."""
+    for frame in frames:
+        spark, path = frame.sparkSession, frame.materialized_at
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

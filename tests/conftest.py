@@ -9,10 +9,11 @@ from rosterflow.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
         spark__sql__shuffle__partitions="3",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

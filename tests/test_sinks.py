@@ -1,9 +1,10 @@
+import os
 import uuid
 
 import pytest
 
 from rosterflow import sinks
-from rosterflow.session import materialize, shared_dir
+from rosterflow.session import materialize, release, shared_dir
 
 
 @pytest.fixture
@@ -117,3 +118,11 @@ def test_materialize_keeps_rows_and_schema(spark, rows):
     assert out.schema == df.schema
     assert rows(out, "n", "x, y") == rows(df, "n", "x, y")
     assert "Scan parquet" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_released_frames_leave_no_files(spark):
+    frame = materialize(spark.range(5), "gone")
+    path = frame.materialized_at.removeprefix("file://")
+    assert os.path.isdir(path) and frame.count() == 5
+    release(frame)
+    assert not os.path.exists(path)
