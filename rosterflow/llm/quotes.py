@@ -8,6 +8,8 @@ that wrote that line itself.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,23 +93,26 @@ def parents(found: DataFrame) -> DataFrame:
 def roots(tree: DataFrame) -> DataFrame:
     """``conv, turn, root, depth`` of the messages with a parent, by pointer jumping.
 
-    Each round doubles the length of the paths that are followed; a round's result is
-    written to the shared folder.
+    Each round doubles the length of the paths that are followed, and messages that have
+    reached their root leave.  A round's result is written to the shared folder.
     """
-    state = materialize(tree.select("conv", "turn", F.col("parent").alias("root"), F.lit(1).cast("bigint").alias("depth")), "paths")
+    columns = ["conv", "turn", "root", "depth"]
+    open_ = materialize(tree.select("conv", "turn", F.col("parent").alias("root"), F.lit(1).cast("bigint").alias("depth")), "paths")
+    reached: list[DataFrame] = []
     while True:
+        state = reduce(DataFrame.unionByName, reached, open_)
         above = state.select("conv", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        stepped = state.join(above, ["conv", "root"], "left")
-        state = materialize(
-            stepped.select(
+        stepped = materialize(
+            open_.join(above, ["conv", "root"], "left").select(
                 "conv", "turn", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
                 F.col("next").isNotNull().alias("moved"),
             ),
             "paths",
         )
-        if not state.where("moved").limit(1).count():
-            return state.drop("moved")
-        state = state.drop("moved")
+        reached.append(stepped.where("NOT moved").select(columns))
+        open_ = stepped.where("moved").select(columns)
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, reached)
 
 
 def positions(rows: DataFrame) -> DataFrame:
@@ -149,10 +154,10 @@ def reply_ordered(
     each stay and share a parent.  A message without a conversation or turn links with
     nothing and comes first.  An empty table gives no rows.
     """
-    lines = messages.select(
+    lines = materialize(messages.select(
         numbered(F.col(conv)).alias("conv"), numbered(F.col(turn)).alias("turn"), F.col(role).cast("string").alias("role"),
         parsed(F.col(text).cast("string")).alias("lines"),
-    )
+    ), "lines")
     ends = r"^\s+|\s+$"
     spoken_quotes = F.filter("lines", lambda x: (x.level > 0) & (normalised(x.content) != ""))
     bodies = materialize(
