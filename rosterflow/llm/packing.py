@@ -133,8 +133,34 @@ class Packer:
 
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_PLAIN = re.compile(r"[\x00-ɏ]*")
-CACHED = 300_000
+_PLAIN = re.compile(r"[\x00-\u024f]*")
+_ODD = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_BY_SPACE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+CACHED = 600_000
+
+
+def cut(text: str) -> list[str]:
+    """The text cut at its spaces between two characters that aren't white space."""
+    plain = text[:1] != " " and text[-1:] != " " and not any(x in text for x in _BY_SPACE)
+    if plain and (text.isascii() or not _ODD.search(text)):
+        return text.split(" ")
+    return _CUT.split(text)
+
+
+class SpacedParts(dict):
+    """Packed ids of parts behind a space; all forgotten when there are too many."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, part: str) -> bytes:
+        packed = self.encode(" " + part)
+        if len(part) <= 64:
+            if len(self) >= CACHED:
+                self.clear()
+            self[part] = packed
+        return packed
 
 
 class ByteTokenizer:
@@ -160,28 +186,21 @@ class ByteTokenizer:
             with open(ranks, "rb") as rows:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rows)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.known: dict[str, bytes] = {}
+        self.spaced = SpacedParts(self.part)
 
     def slow(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def part(self, part: str) -> bytes:
         ids = self.fast.encode_ordinary(part) if _PLAIN.fullmatch(part) else self.slow(part)
-        packed = np.array(ids, dtype="<u4").tobytes()
-        if len(part) <= 64:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            self.known[part] = packed
-        return packed
+        return np.array(ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.slow(text), dtype="<u4")
-        first, *rest = _CUT.split(text)
-        known, part = self.known, self.part
-        packed = [known.get(first) or part(first)] if first else []
-        packed += [known.get(p) or part(p) for p in [" " + r for r in rest]]
-        return np.frombuffer(b"".join(packed), dtype="<u4")
+        first, *rest = cut(text)
+        packed = self.part(first) if first else b""
+        return np.frombuffer(packed + b"".join(map(self.spaced.__getitem__, rest)), dtype="<u4")
 
 
 _TOKENIZERS: dict[tuple, ByteTokenizer] = {}
