@@ -5,7 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
+import __spark_entry__  # noqa: F401  (fills the registry)
+from acceptance.registry import QUERIES
 from acceptance.standins import URGENT, narrow_master, narrow_sheet, table
 from rosterflow.operators.contracts import latest_by_rank
 from rosterflow.operators.joins import anti_join
@@ -36,14 +37,14 @@ def shuffles(text):
 
 WINDOWS_OVER_COUNTS = {
     # Their one-partition windows run over block, file or box counts, not over rows.
-    "dense_ordinal", "occurrence_number_hot_keys", "read_with_row_ord", "roster_sync", "roster_sync_inserts",
+    "dense_ordinal", "dense_ordinal_null_order", "occurrence_number_hot_keys", "read_with_row_ord", "roster_sync", "roster_sync_inserts",
     "talent_matrix",
 }
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_join_no_python_no_global_window(large_plans, name):
-    text = plan_of(entry_points.queries()[name](large_plans, SMALL))
+    text = plan_of(QUERIES[name](large_plans, SMALL))
     assert "CartesianProduct" not in text
     assert "NestedLoop" not in text
     assert not re.search(r"Python|Pandas|Arrow", text)
@@ -51,6 +52,26 @@ def test_no_cross_join_no_python_no_global_window(large_plans, name):
         assert "SinglePartition" not in text or "Window" not in text
 
 
+def test_the_default_searches_hot_keys_once(large_plans, monkeypatch):
+    """One aggregation over the keys of both sides, then one shuffle of the rows and no join."""
+    from rosterflow.operators import ordinal
+
+    searches = []
+    search = ordinal.hot_keys
+    monkeypatch.setattr(ordinal, "hot_keys", lambda *a, **k: searches.append(a) or search(*a, **k))
+    plan = roster_sync_plan(narrow_master(large_plans, SMALL), narrow_sheet(large_plans, SMALL), URGENT, "ord")
+    assert len(searches) == 1
+    assert shuffles(plan_of(plan)) == 1 and "Join" not in plan_of(plan)
+
+
+def test_the_new_sheet_is_not_folded_from_cells(large_plans):
+    from rosterflow.plans import roster_sync
+
+    sync = roster_sync(narrow_master(large_plans, SMALL), narrow_sheet(large_plans, SMALL), URGENT, "ord", reuse="table")
+    text = plan_of(sync.new_sheet)
+    assert "Generate" not in text and "SortAggregate" not in text
+
+
 def test_sync_shuffles_each_side_once_and_joins_nothing(large_plans):
     plan = roster_sync_plan(
         narrow_master(large_plans, SMALL), narrow_sheet(large_plans, SMALL), URGENT, "ord", hot_rows=None
