@@ -52,7 +52,7 @@ class JoinPlan:
     verification: float = 16.0
     bloom_bits: int = 1 << 26
     flush: int = 2_000_000
-    block: int = 512
+    block: int = 2048
 
 
 # ------------------------------------------------------------------- shingling
@@ -119,6 +119,16 @@ def parted(tokens: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return (high * np.uint64(parts) >> np.uint64(32)).astype(np.int64), (tokens & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def planes(ascending: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as byte planes of their differences, which compress well."""
+    return np.diff(ascending, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 def least_overlap(n, percent: int):
     """How many shingles a set of ``n`` must share with any similar set."""
     return (percent * n + 99) // 100
@@ -142,11 +152,11 @@ def frequencies(texts: DataFrame, plan: JoinPlan, parts: int) -> tuple[np.ndarra
             numbers, n = np.unique(part.astype(np.uint64) << np.uint64(32) | key, return_counts=True)
             cuts = np.searchsorted(numbers, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
             rows = [(p, a, b) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
-            keys, n = (numbers & np.uint64(0xFFFFFFFF)).astype("<u4"), np.minimum(n, 2**31 - 1).astype("<i4")
+            keys, n = (numbers & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.minimum(n, 2**31 - 1).astype("<i4")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([p for p, _, _ in rows], pa.int32()),
-                    pa.array([keys[a:b].tobytes() for _, a, b in rows], pa.binary()),
+                    pa.array([planes(keys[a:b]) for _, a, b in rows], pa.binary()),
                     # nearly all counts are one: only the others are sent, by place
                     pa.array([more(n[a:b]) for _, a, b in rows], pa.binary()),
                 ],
@@ -170,7 +180,7 @@ def frequencies(texts: DataFrame, plan: JoinPlan, parts: int) -> tuple[np.ndarra
     def add_up(table: pa.Table) -> pa.Table:
         part, keys, counts = table.column("part")[0].as_py(), [], []
         for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True):
-            keys.append(np.frombuffer(k, "<u4"))
+            keys.append(from_planes(k))
             n = np.ones(len(keys[-1]), dtype=np.int64)
             at = np.frombuffer(c, "<i4").reshape(2, -1)
             n[at[0]] = at[1]
@@ -210,13 +220,16 @@ def prefix(tokens: np.ndarray, df: np.ndarray, plan: JoinPlan) -> tuple[np.ndarr
 def scan(texts: DataFrame, plan: JoinPlan, parts: int, known: Broadcast) -> DataFrame:
     """What the join needs of each text, in rows of three kinds.
 
-    0: ``id, cls, n, ell`` of a text; 1: ``part`` with packed ``tokens`` and ``owners`` of
-    prefix shingles that aren't hot; 2: ``token`` and ``cls`` of hot ones.  ``cls`` stands for
-    the set of shingles: equal sets share it, and it is -1 for a text without words.
+    0: ``id, cls, n, ell`` of a text with the length ``p`` of its prefix, the number ``h`` of hot
+    shingles in it, and the place in the order, ``(end_df, end_hash)``, of its last one; 1: ``part`` with packed ``tokens`` and
+    ``owners`` of prefix shingles that aren't hot; 2: ``token`` and ``cls`` of hot ones.  ``cls``
+    stands for the set of shingles: equal sets share it, and it is -1 for a text without words.
+    The packed tokens are 32 bits that, with their part, tell shingles apart well enough
+    to find candidates.
     """
     schema = pa.schema([
         ("kind", pa.int8()), ("id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("ell", pa.int32()),
-        ("part", pa.int32()), ("tokens", pa.binary()), ("owners", pa.binary()), ("token", pa.int64()),
+        ("p", pa.int64()), ("h", pa.int64()), ("end_df", pa.int64()), ("end_hash", pa.int64()), ("part", pa.int32()), ("tokens", pa.binary()), ("owners", pa.binary()), ("token", pa.int64()),
     ])
 
     def rows(kind: int, **columns) -> pa.RecordBatch:
@@ -236,14 +249,14 @@ def scan(texts: DataFrame, plan: JoinPlan, parts: int, known: Broadcast) -> Data
 
         def emit() -> Iterator[pa.RecordBatch]:
             tokens, owners = np.concatenate([t for t, _ in held]), np.concatenate([o for _, o in held])
-            order = np.argsort(tokens, kind="stable")
-            tokens, owners = tokens[order], owners[order]
-            part, _ = parted(tokens, parts)
+            part, key = parted(tokens, parts)
+            order = np.lexsort((key, part))
+            part, key, owners = part[order], key[order], owners[order]
             cuts = np.searchsorted(part, np.arange(parts + 1))
             spans = [(p, a, b) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
             yield rows(
                 1, part=[p for p, _, _ in spans],
-                tokens=[tokens[a:b].astype("<u8").tobytes() for _, a, b in spans],
+                tokens=[planes(key[a:b]) for _, a, b in spans],
                 owners=[owners[a:b].astype("<i8").tobytes() for _, a, b in spans],
             )
 
@@ -254,29 +267,34 @@ def scan(texts: DataFrame, plan: JoinPlan, parts: int, known: Broadcast) -> Data
             at = np.minimum(np.searchsorted(numbers, number), max(0, len(numbers) - 1))
             df = np.where(numbers[at] == number, frequency[at], 0) if len(numbers) else np.zeros(len(flat), np.int64)
             ends = np.cumsum(counts)
-            classes, ells, hot_tokens, hot_owners = [], [], [], []
+            classes, ells, sizes, heat, last_df, last_hash, hot_tokens, hot_owners = [], [], [], [], [], [], [], []
             for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
                 if a == b:
                     classes.append(-1)
-                    ells.append(0)
+                    for column in (ells, sizes, heat, last_df, last_hash):
+                        column.append(0)
                     continue
                 tokens = flat[a:b]
                 cls = signature(tokens)
                 places, ell = prefix(tokens, df[a:b], plan)
                 classes.append(cls)
                 ells.append(ell)
+                sizes.append(len(places))
+                last_df.append(int(df[a + places[-1]]))
+                last_hash.append(int(tokens[places[-1]] >> np.uint64(1)))
+                hot = df[a:b][places] >= plan.hot_from
+                heat.append(int(hot.sum()))
                 if cls in seen:
                     continue
                 if len(seen) < 500_000:
                     seen.add(cls)
-                hot = df[a:b][places] >= plan.hot_from
-                calm = np.sort(tokens[places[~hot]])
+                calm = tokens[places[~hot]]
                 held.append((calm, np.full(len(calm), cls, dtype=np.int64)))
                 size += len(calm)
                 if hot.any():
                     hot_tokens.append(tokens[places[hot]].view(np.int64))
                     hot_owners.append(np.full(int(hot.sum()), cls, dtype=np.int64))
-            yield rows(0, id=batch.column("id"), cls=classes, n=counts, ell=ells)
+            yield rows(0, id=batch.column("id"), cls=classes, n=counts, ell=ells, p=sizes, h=heat, end_df=last_df, end_hash=last_hash)
             if hot_tokens:
                 yield rows(2, token=np.concatenate(hot_tokens), cls=np.concatenate(hot_owners))
             if size >= plan.flush:
@@ -285,7 +303,7 @@ def scan(texts: DataFrame, plan: JoinPlan, parts: int, known: Broadcast) -> Data
         if size:
             yield from emit()
 
-    ddl = "kind tinyint, id bigint, cls bigint, n bigint, ell int, part int, tokens binary, owners binary, token bigint"
+    ddl = "kind tinyint, id bigint, cls bigint, n bigint, ell int, p bigint, h bigint, end_df bigint, end_hash bigint, part int, tokens binary, owners binary, token bigint"
     return materialize(texts.mapInArrow(read, ddl), "prefixes")
 
 
@@ -293,7 +311,8 @@ def postings(scanned: DataFrame, plan: JoinPlan) -> DataFrame:
     """``token, owners`` of the shingles with two classes or more: ``owners`` is null for the rows ``token, cls`` of long lists."""
 
     def group(table: pa.Table) -> pa.Table:
-        tokens = np.frombuffer(b"".join(table.column("tokens").to_pylist()), "<u8")
+        keys = np.concatenate([from_planes(t) for t in table.column("tokens").to_pylist()])
+        tokens = np.int64(table.column("part")[0].as_py()) << 32 | keys.astype(np.int64)
         owners = np.frombuffer(b"".join(table.column("owners").to_pylist()), "<i8")
         order = np.lexsort((owners, tokens))
         tokens, owners = tokens[order], owners[order]
@@ -306,7 +325,7 @@ def postings(scanned: DataFrame, plan: JoinPlan) -> DataFrame:
         long = sizes > 4 * plan.hot_from
         at = ragged(starts[long], sizes[long])
         return pa.table({
-            "token": pa.array(np.r_[tokens[starts[some]].view(np.int64), tokens[at].view(np.int64)], pa.int64()),
+            "token": pa.array(np.r_[tokens[starts[some]], tokens[at]], pa.int64()),
             "owners": pa.chunked_array([lists, pa.nulls(len(at), lists.type)], type=lists.type),
             "cls": pa.array(np.r_[np.full(int(some.sum()), -1, np.int64), owners[at]], pa.int64()),
         })
@@ -334,10 +353,21 @@ def verified(pairs: DataFrame, sets: DataFrame, plan: JoinPlan) -> DataFrame:
 
 
 def sized(pairs: DataFrame, classes: DataFrame, plan: JoinPlan) -> DataFrame:
-    """The pairs ``a, b`` whose sizes let them be similar, with the smaller ``ell`` of the two."""
-    one = lambda name: classes.select(F.col("cls").alias(name), F.col("n").alias(f"n_{name}"), F.col("ell").alias(f"ell_{name}"))
+    """The pairs ``a, b, shared`` that can be similar by their sizes and the ends of their prefixes.
+
+    ``shared`` counts the common prefix shingles that aren't hot; all hot ones may be common
+    too.  There must be as many as the smaller ``ell``.  Of the text whose prefix ends first, all
+    common shingles up to that end are among those; of its other ``n - p``, each may be common.
+    """
+    columns = ("n", "ell", "p", "h", "end_df", "end_hash")
+    one = lambda x: classes.select(F.col("cls").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns])
     fits = 100 * F.least("n_a", "n_b") >= plan.percent * F.greatest("n_a", "n_b")
-    return pairs.join(one("a"), "a").join(one("b"), "b").where(fits).withColumn("ell", F.least("ell_a", "ell_b"))
+    first = F.struct("end_df_a", "end_hash_a") <= F.struct("end_df_b", "end_hash_b")
+    common = F.col("shared") + F.least("h_a", "h_b")
+    most = common + F.when(first, F.col("n_a") - F.col("p_a")).otherwise(F.col("n_b") - F.col("p_b"))
+    # a common part of c out of n_a + n_b - c reaches the percentage
+    enough = (100 + plan.percent) * most >= plan.percent * (F.col("n_a") + F.col("n_b"))
+    return pairs.join(one("a"), "a").join(one("b"), "b").where(fits & enough & (common >= F.least("ell_a", "ell_b")))
 
 
 def block_links(x: pa.Table, y: pa.Table, percent: int) -> pa.Table:
@@ -373,24 +403,45 @@ def block_links(x: pa.Table, y: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": [a for a, _ in best], "b": list(best.values())}, schema=schema)
 
 
-def hot_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, plan: JoinPlan) -> DataFrame:
-    """Links by hot shingles, between texts of different groups.
+def bundles(entries: DataFrame, labels: DataFrame, classes: DataFrame, plan: JoinPlan) -> DataFrame:
+    """``bundle, cls, comp`` of the texts that hot postings may link, with the bundle's largest group, ``major``, and sizes.
 
-    In each posting the largest group needs no comparison with itself: the texts
-    outside it are compared, block by block, with all of the posting.
+    Those are the postings whose texts lie in several groups, one of them mostly hot.  Pairs
+    that share another shingle too are found by that one.  Long postings of shingles that
+    aren't known to be hot (``long``) are kept in any case.  Postings that share texts make
+    one bundle, in which each text is met once.
     """
-    labelled = entries.join(labels, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).select("token", "cls", "comp")
-    labelled = materialize(labelled, "hot_entries")
-    counts = labelled.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
-    major = counts.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("major"), F.sum("size").alias("total"), F.max("size").alias("most"))
-    major = major.where("total > most").select(
-        "token", "major", F.ceil((F.col("total") - F.col("most")) / plan.block).cast("int").alias("x_blocks"),
-        F.ceil(F.col("total") / plan.block).cast("int").alias("y_blocks"),
+    warm = classes.where(heated(plan)).select("cls", F.lit(True).alias("warm"))
+    labelled = entries.join(labels, "cls", "left").join(warm, "cls", "left").select(
+        "token", "cls", F.coalesce("component", "cls").alias("comp"), (F.col("long") | F.coalesce("warm", F.lit(False))).alias("warm")
+    )
+    mixed = labelled.groupBy("token").agg(
+        F.min("cls").alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.bool_or("warm").alias("some_warm")
+    )
+    apart = labelled.drop("warm").join(mixed.where("low <> high AND some_warm").select("token", "hub"), "token")
+    members = materialize(apart.select("cls", "comp", "hub").distinct(), "hot_members")
+    whole = components(members.select(F.col("hub").alias("a"), F.col("cls").alias("b"))).select(
+        F.col("node").alias("cls"), F.col("component").alias("bundle")
     )
-    open_ = labelled.join(major, "token")
-    own = lambda n: F.pmod(F.xxhash64("cls", "token"), F.col(n)).cast("int")
+    texts = members.select("cls", "comp").distinct().join(whole, "cls")
+    counts = texts.groupBy("bundle", "comp").agg(F.count(F.lit(1)).alias("size"))
+    major = counts.groupBy("bundle").agg(
+        F.max_by("comp", F.struct("size", "comp")).alias("major"), F.sum("size").alias("total"), F.max("size").alias("most")
+    )
+    return texts.join(major, "bundle")
+
+
+def hot_links(apart: DataFrame, sets: DataFrame, plan: JoinPlan) -> DataFrame:
+    """Links by hot shingles, between texts of different groups.
+
+    In each bundle the largest group needs no comparison with itself: the texts
+    outside it are compared, block by block, with all of the bundle.
+    """
+    n_blocks = lambda n: F.ceil(n / plan.block).cast("int")
+    open_ = apart.withColumns({"x_blocks": n_blocks(F.col("total") - F.col("most")), "y_blocks": n_blocks(F.col("total"))})
+    own = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    blocks = ["token", "x_block", "y_block"]
+    blocks = ["bundle", "x_block", "y_block"]
     x = open_.where("comp <> major").withColumn("x_block", own("x_blocks")).withColumn("y_block", every("y_blocks"))
     y = open_.withColumn("y_block", own("y_blocks")).withColumn("x_block", every("x_blocks"))
     columns = [F.col(c).alias(c) for c in (*blocks, "cls", "comp", "tokens")]  # both sides come from one frame: new names
@@ -406,21 +457,37 @@ def hot_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, plan: Join
 # ------------------------------------------------------------------------- join
 
 
-def star_pairs(lists: DataFrame, entries: DataFrame) -> DataFrame:
-    """``a, b``: each text of a posting with the posting's centres, the first ones in a few random orders."""
-    orders = range(4)
-    turned = lambda c, r: F.xxhash64(c, F.lit(r))
-    short = lists.select("owners", F.array_min("owners").alias("c0"), F.array_max("owners").alias("c1")).select(
-        F.explode("owners").alias("b"), F.array("c0", "c1").alias("centres")
-    )
-    centres = entries.groupBy("token").agg(*[F.min_by("cls", turned("cls", r)).alias(f"c{r}") for r in orders])
-    long = entries.join(centres, "token").select(F.col("cls").alias("b"), F.array(*[f"c{r}" for r in orders]).alias("centres"))
-    pairs = short.unionByName(long).select("b", F.explode("centres").alias("a")).where("a <> b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def heated(plan: JoinPlan):
+    """Whether a text's shingles are mostly hot, which one text of a pair must be that shares hot ones alone.
+
+    A text with a hot shingle in its prefix has all its others, ``p - h``, in it as well.  If x
+    and y share none of these, they have ``n_x - r_x`` in common at most, out of ``n_x + r_y`` at
+    least.  With both ``r`` beyond ``(1 - t) / (1 + t)`` of ``n`` that is less than ``t``.
+    """
+    return (100 + plan.percent) * (F.col("p") - F.col("h")) <= (100 - plan.percent) * F.col("n")
+
+
+def star_pairs(lists: DataFrame, entries: DataFrame, classes: DataFrame, plan: JoinPlan) -> DataFrame:
+    """``a, b``: each text of a posting with the posting's centre, if they may be similar.
+
+    A long posting has the first texts of a few random orders for centres.  These pairs are
+    only to join most groups cheaply; none needs to be complete.
+    """
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    short = lists.select(F.explode(F.slice("owners", 2, 4 * plan.hot_from)).alias("x"), F.element_at("owners", 1).alias("centre"))
+    counted = short.groupBy(*ordered("x", "centre")).agg(F.count(F.lit(1)).alias("shared"))
+    mild = sized(counted, classes, plan).select("a", "b")
+    orders = [F.min_by("cls", F.xxhash64("cls", F.lit(r))).alias(f"c{r}") for r in range(4)]
+    mostly = entries.join(classes.where(heated(plan)).select("cls", "h"), "cls")
+    long = mostly.join(mostly.groupBy("token").agg(*orders), "token")
+    hot = long.select(F.col("cls").alias("x"), "h", F.explode(F.array("c0", "c1", "c2", "c3")).alias("centre")).where("x <> centre")
+    often = hot.groupBy("x", "centre").agg(F.count(F.lit(1)).alias("met"), F.min("h").alias("h")).where("2 * met >= h")
+    fits = sized(often.select(*ordered("x", "centre")).distinct().withColumn("shared", F.lit(2**31)), classes, plan).select("a", "b")
+    return materialize(mild.unionByName(fits).distinct(), "star_pairs")
 
 
 def rest_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, plan: JoinPlan) -> DataFrame:
-    """``a, b``: texts in different groups that share as many shingles of short postings as the smaller ``ell`` asks."""
+    """``a, b``: texts in different groups that share shingles of short postings and may be similar."""
     entries = lists.select("token", F.explode("owners").alias("cls")).join(labels, "cls", "left")
     grouped = entries.groupBy("token").agg(
         F.collect_list(F.struct("cls", F.coalesce("component", "cls").alias("comp"))).alias("members"),  # 4 * hot_from at most
@@ -429,13 +496,13 @@ def rest_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, plan: Jo
     one = grouped.select("members", F.explode("members").alias("x"))
     two = one.select("x", F.explode(F.filter("members", lambda m: m.comp != F.col("x.comp"))).alias("y")).where("x.cls < y.cls")
     shared = two.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    return sized(shared, classes, plan).where("shared >= ell").select("a", "b")
+    return sized(shared, classes, plan).select("a", "b")
 
 
 def bloom(ids: DataFrame, bits: int) -> np.ndarray:
-    """A filter of ``bits`` bits, one hash function: 64-bit words, of which ``bits / 64`` come to the driver at most."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(bits))
-    words = ids.select(F.expr("1").alias("one"), slot.alias("slot")).groupBy(F.floor(F.col("slot") / 32).alias("word")).agg(
+    """A filter of ``bits`` bits, one hash function; ``bits / 32`` words of it come to the driver at most."""
+    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(bits)).alias("slot"))
+    words = slots.groupBy(F.floor(F.col("slot") / 32).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(slot % 32 AS INT))")).alias("held")
     ).toPandas()
     table = np.zeros(bits // 32, dtype=np.uint32)
@@ -443,8 +510,13 @@ def bloom(ids: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def shingle_sets(texts: DataFrame, plan: JoinPlan, held: Broadcast) -> DataFrame:
-    """``cls, tokens`` of the texts whose id the filter holds."""
+def shingle_sets(texts: DataFrame, wanted: DataFrame, classes: DataFrame, plan: JoinPlan) -> DataFrame:
+    """``cls, tokens`` of the classes that ``wanted`` lists, and perhaps of others.
+
+    Each is made from its text with the smallest id again; a filter of fixed size,
+    sent to all tasks, passes over the other texts.
+    """
+    held = texts.sparkSession.sparkContext.broadcast(bloom(classes.join(wanted, "cls", "left_semi"), plan.bloom_bits))
     hashed = texts.select(F.pmod(F.xxhash64("id"), F.lit(plan.bloom_bits)).alias("slot"), "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -488,22 +560,24 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", plan
     parts = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = context.broadcast(frequencies(texts, plan, parts))
     scanned = scan(texts, plan, parts, known)
-    rows = scanned.where("kind = 0").select("id", "cls", "n", "ell")
+    rows = scanned.where("kind = 0").select("id", "cls", "n", "ell", "p", "h", "end_df", "end_hash")
     classes = materialize(
-        rows.where("cls >= 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("ell").alias("ell")), "classes"
+        rows.where("cls >= 0").groupBy("cls").agg(F.min("id").alias("id"), *[F.min(c).alias(c) for c in ("n", "ell", "p", "h", "end_df", "end_hash")]), "classes"
     )
     listed = postings(scanned, plan)
     lists = listed.where("owners IS NOT NULL").select("token", "owners")
-    entries = scanned.where("kind = 2").select("token", "cls").unionByName(listed.where("owners IS NULL").select("token", "cls")).distinct()
-    entries = materialize(entries, "hot_postings")
-    involved = lists.select(F.explode("owners").alias("cls")).unionByName(entries.select("cls")).distinct()
-    held = context.broadcast(bloom(classes.join(involved, "cls", "left_semi"), plan.bloom_bits))
-    sets = shingle_sets(texts, plan, held)
-
-    first = materialize(verified(sized(star_pairs(lists, entries), classes, plan).select("a", "b"), sets, plan), "links")
+    hot = scanned.where("kind = 2").select("token", "cls", F.lit(False).alias("long"))
+    entries = materialize(hot.unionByName(listed.where("owners IS NULL").select("token", "cls", F.lit(True).alias("long"))).distinct(), "hot_postings")
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+    stars = star_pairs(lists, entries, classes, plan)
+    sets = shingle_sets(texts, ends(stars).distinct(), classes, plan)
+    first = materialize(verified(stars, sets, plan), "links")
     labels = materialize(components(first), "groups").select(F.col("node").alias("cls"), "component")
-    rest = verified(rest_pairs(lists, labels, classes, plan), sets, plan)
-    second = materialize(rest.unionByName(hot_links(entries, labels, sets, plan)), "links")
+
+    rest = materialize(rest_pairs(lists, labels, classes, plan), "rest_pairs")
+    apart = materialize(bundles(entries, labels, classes, plan), "bundles")
+    sets = shingle_sets(texts, ends(rest).unionByName(apart.select("cls")).distinct(), classes, plan)
+    second = materialize(verified(rest, sets, plan).unionByName(hot_links(apart, sets, plan)), "links")
     joined = components(first.unionByName(second)).withColumnRenamed("node", "cls")
 
     grouped = classes.join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
