@@ -51,7 +51,7 @@ class JoinPlan:
     longest: int = 4
     verification: float = 16.0
     bloom_bits: int = 1 << 26
-    flush: int = 2_000_000
+    flush: int = 1_000_000
     block: int = 2048
 
 
@@ -69,7 +69,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words; all forgotten when there are too many."""
 
-    limit = 1_000_000
+    limit = 300_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -286,7 +286,7 @@ def scan(texts: DataFrame, plan: JoinPlan, parts: int, known: Broadcast) -> Data
                 heat.append(int(hot.sum()))
                 if cls in seen:
                     continue
-                if len(seen) < 500_000:
+                if len(seen) < 200_000:
                     seen.add(cls)
                 calm = tokens[places[~hot]]
                 held.append((calm, np.full(len(calm), cls, dtype=np.int64)))
@@ -532,7 +532,7 @@ def shingle_sets(texts: DataFrame, wanted: DataFrame, classes: DataFrame, plan:
             for i, (a, b) in enumerate(zip((ends - counts).tolist(), ends.tolist(), strict=True)):
                 cls = signature(flat[a:b]) if b > a else -1
                 if cls >= 0 and cls not in seen:
-                    if len(seen) < 500_000:
+                    if len(seen) < 200_000:
                         seen.add(cls)
                     keep.append(i)
                     classes.append(cls)
