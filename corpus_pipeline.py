@@ -21,6 +21,7 @@ from rosterflow.llm.secrets import redact_secrets
 from rosterflow.session import shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+LETTER = r"\p{L}"
 
 
 def documents(docs: DataFrame) -> DataFrame:
@@ -29,13 +30,16 @@ def documents(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose text has no language: null, empty or without a letter."""
+    """Rejects documents whose text has no language: null, empty or without a letter.
+
+    The text alone decides, so nothing is lost if there is no language to learn from.
+    """
     docs = documents(docs)
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     model = fit(docs.where(~held_out))
     rows = docs.select(F.struct(*COLUMNS).alias("row"), "text")
     found = identify(rows, model, "row", "text")
-    return found.where(F.col("lang_pred") != UNDETERMINED).select("key.*")
+    return found.where((F.col("lang_pred") != UNDETERMINED) if model is not None else F.col("key.text").rlike(LETTER)).select("key.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

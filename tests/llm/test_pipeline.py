@@ -65,3 +65,15 @@ def test_stages_take_odd_and_empty_tables(spark, sf, docs, number):
     kept = sorted({r.doc_id for r in out.collect()})
     assert kept == [[1, 2, 6, 7], [2, 4, 5, 7], [1, 3, 4, 5], list(range(1, 8)), list(range(1, 8))][number]
     assert stage(spark, df.limit(0), sf).count() == 0
+
+
+@pytest.mark.parametrize("lang", [None, "en"])
+def test_language_stage_keeps_every_text_with_letters_when_nothing_can_be_learned(spark, docs, lang):
+    """Without a language, or with one in held-out documents alone."""
+    held_out = [i for i in range(40) if binascii.crc32(str(i).encode()) % 4 == 2][0]
+    learnable = [i for i in range(40) if binascii.crc32(str(i).encode()) % 4 != 2]
+    texts = ["plain words", "été", "слово", "語", None, "", "12 !", "_"]
+    df = docs([*zip(learnable, texts)], None).unionByName(docs([(held_out, "held out")], lang))
+    out = corpus_pipeline.language_id(spark, df, "")
+    assert out.columns == COLUMNS
+    assert sorted(r.doc_id for r in out.collect()) == sorted([*learnable[:4], held_out])
