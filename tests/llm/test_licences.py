@@ -97,3 +97,56 @@ def test_query(spark, sf, documents):
 def test_no_python_in_the_plan(spark, sf):
     plan = queries.QUERIES["op10_licences"](spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+BSD = "Copyright (c) 2020, Jane Doe\nAll rights reserved.\n\n" + licences.BSD_TEXT
+GPL_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+import os"""
+GPL_FILE = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+
+                            Preamble
+
+  The GNU General Public License is a free, copyleft license for
+software and other kinds of works.
+  13. Use with the GNU Affero General Public License.
+  Notwithstanding any other provision of this License, you have
+permission to link or combine any covered work with a work licensed
+under version 3 of the GNU Affero General Public License into a single
+combined work, and to convey the resulting work."""
+FOUND = [
+    ("a.py", "Copyright (c) 2024 Jane Doe. Released under the MIT License.", "MIT"),
+    ("b.py", "Licensed under the MIT license.", "MIT"),
+    ("c.py", "MIT License", "MIT"),
+    ("d/LICENSE", BSD, "BSD-3-Clause"),
+    ("d/e/x.py", "inherits", "BSD-3-Clause"),
+    ("f/LICENSE", "MIT License\n\nCopyright (c) 2024 Jane Doe\n\n" + licences.MIT_TEXT, "MIT"),
+    ("g/COPYING", GPL_FILE, "GPL-3.0"),
+    ("h.py", GPL_HEADER, "GPL-3.0"),
+    ("i.py", "import os " * 30 + "# this file is licensed under the Apache License, Version 2.0 see NOTICE " + "x = 1 " * 40, "Apache-2.0"),
+    ("j.py", "# Released under\n# the BSD 3-Clause\n# License.\nx", "BSD-3-Clause"),
+    ("k.py", licences.MIT_TEXT.replace("\n", " ").replace("free of charge", "at no cost"), "MIT"),
+    ("l.py", "one two Licensed under CC BY-NC 4.0. three", "CC-BY-NC-4.0"),
+    ("m.c", "/* SPDX-License-Identifier: GPL-3.0-or-later */", "GPL-3.0"),
+    ("n.py", "Code: released under the MIT License. Data: licensed under CC BY 4.0. All of it.", "CC-BY-4.0,MIT"),
+    ("o.py", "Licensed under the Foo License.", ""),
+    ("p.py", "a work licensed under version 3 of the GNU Affero General Public License", ""),
+    ("q.py", GPL_HEADER.replace("version 3", "version 2"), ""),
+    ("r.py", "we talked of the license and of MIT students", ""),
+    ("s.py", "Licensed under CC BY-NC-SA 4.0. more words here", ""),
+]
+
+
+def test_reworded_wrapped_embedded_and_whole_licences(spark):
+    got = scan(spark, [(p, t) for p, t, _ in FOUND])
+    assert {FOUND[i][0]: x[0] for i, x in got.items()} == {p: want for p, _, want in FOUND}
+    assert got[4][1:] == ("inherited", "d")
