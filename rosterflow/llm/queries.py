@@ -16,6 +16,7 @@ from rosterflow.llm.packing import pack
 from rosterflow.llm.pieces import decode_pieces, encode_pieces
 from rosterflow.llm.quotes import reply_ordered
 from rosterflow.llm.secrets import secret_spans
+from rosterflow.llm.simhash import hex_digits, near_copies
 from rosterflow.llm.warc import RECORD_ID, classify, new_folder, read_archives, write_archives
 from rosterflow.session import shared_dir
 
@@ -191,3 +192,9 @@ def op10_licences(spark, sf_dir):
 def op8_jaccard_join(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("cls").alias("class_id"))
+
+
+@query()
+def op13_simhash(spark, sf_dir):
+    found = near_copies(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id", "n_shingles")
