@@ -15,6 +15,7 @@ from rosterflow.llm.neighbours import nearest
 from rosterflow.llm.packing import pack
 from rosterflow.llm.pieces import decode_pieces, encode_pieces
 from rosterflow.llm.quotes import reply_ordered
+from rosterflow.llm.repair import repair, summaries
 from rosterflow.llm.secrets import secret_spans
 from rosterflow.llm.simhash import hex_digits, near_copies
 from rosterflow.llm.warc import RECORD_ID, classify, new_folder, read_archives, write_archives
@@ -198,3 +199,30 @@ def op8_jaccard_join(spark, sf_dir):
 def op13_simhash(spark, sf_dir):
     found = near_copies(table(spark, sf_dir, "documents"))
     return found.select(F.col("key").alias("doc_id"), hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id", "n_shingles")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, broken off, repeated or given to the user, by the checksum of their place."""
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    kind = F.crc32(place) % 20
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    copies = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return conversations.where(kind != 0).select(
+        "conv_id", "turn",
+        F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+@query()
+def op12_repair(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    found = summaries(repair(damaged(conversations)))
+    every = conversations.select("conv_id").distinct()
+    joined = every.join(found, every.conv_id.eqNullSafe(found.conv), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return joined.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
