@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.llm.align import align
 from rosterflow.llm.dedup import exact_dedup
 from rosterflow.llm.jaccard import near_duplicates
 from rosterflow.llm.language import fit, identify
@@ -226,3 +227,9 @@ def op12_repair(spark, sf_dir):
         "conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query()
+def op11_align(spark, sf_dir):
+    files = (tokenizer_file(f) for f in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"))
+    return align(table(spark, sf_dir, "documents"), *files).withColumnRenamed("key", "doc_id")
