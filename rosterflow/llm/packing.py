@@ -62,7 +62,7 @@ class Packer:
     """Packs the ids of documents as they come; gives pieces ``(doc, start, ids, sequence, offset)``.
 
     ``pool`` bounds how many remainders wait.  When it is full, windows are filled until
-    half of it is left; at the end, what is left is cut at powers of two, which need
+    half of it is left, or too little for a whole one; at the end, what is left is cut at powers of two, which need
     no padding.
     """
 
@@ -71,6 +71,7 @@ class Packer:
         self.sequence = first_sequence
         self.waiting: dict[int, deque] = defaultdict(deque)
         self.size = 0
+        self.held = 0  # ids that wait
 
     def add(self, doc, ids: np.ndarray) -> Iterator[tuple]:
         whole = len(ids) // self.capacity * self.capacity
@@ -78,10 +79,9 @@ class Packer:
             yield doc, start, ids[start : start + self.capacity], self.sequence, 0
             self.sequence += 1
         if len(ids) > whole:
-            self.waiting[len(ids) - whole].append((doc, whole, ids[whole:]))
-            self.size += 1
+            self.put(doc, whole, ids[whole:])
             if self.size >= self.pool:
-                while self.size > self.pool // 2:
+                while self.size > self.pool // 2 and self.held >= self.capacity:
                     yield from self.window()
 
     def window(self) -> Iterator[tuple]:
@@ -102,9 +102,9 @@ class Packer:
 
     def finish(self) -> Iterator[tuple]:
         """Empty the pool: full windows first, then powers of two."""
-        while sum(x * len(rows) for x, rows in self.waiting.items()) >= self.capacity:
+        while self.held >= self.capacity:
             yield from self.window()
-        left = sum(x * len(rows) for x, rows in self.waiting.items())
+        left = self.held
         room, offset = 0, 0
         for length in sorted(self.waiting, reverse=True):
             while self.waiting.get(length):
@@ -125,11 +125,13 @@ class Packer:
         if not rows:
             del self.waiting[length]
         self.size -= 1
+        self.held -= length
         return row
 
     def put(self, doc, start: int, ids: np.ndarray) -> None:
         self.waiting[len(ids)].append((doc, start, ids))
         self.size += 1
+        self.held += len(ids)
 
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
