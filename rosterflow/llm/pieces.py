@@ -298,14 +298,20 @@ class PieceModel:
         loud = np.flatnonzero(~self.silent[flat]) if len(flat) else np.zeros(0, np.int64)
         found = np.searchsorted(loud, ends - lengths)
         found = np.append(loud, len(flat))[found]
+        # a silent piece ends a run of byte pieces, so that its bytes aren't joined with the next ones
+        torn = np.flatnonzero(self.is_byte[flat[:-1]] & self.silent[flat[1:]])
+        apart = set(np.searchsorted(ends, torn, side="right").tolist())
         drop = np.zeros(len(lengths), dtype=np.int64)
         has = found < ends
         drop[has] = self.spaced[flat[found[has]]]
         out = []
-        for a, b, cut, first, last in zip(
+        for i, (a, b, cut, first, last) in enumerate(zip(
             stop[ends - lengths].tolist(), stop[ends].tolist(), drop.tolist(), (ends - lengths).tolist(), ends.tolist(), strict=True
-        ):
+        )):
             try:
+                if i in apart:
+                    out.append(self.decode_broken(flat[first:last])[cut:])
+                    continue
                 out.append(data[a + cut : b].decode())
             except UnicodeDecodeError:
                 out.append(self.decode_broken(flat[first:last])[cut:])
