@@ -48,6 +48,18 @@ ROSTER_LABELS: dict[str, str] = {
 
 ROSTER_COLUMNS: list[str] = list(ROSTER_LABELS.values())
 
+# How many columns are loaded from the master sheet and from each division's sheet.
+SHEET_WIDTHS: dict[str, int] = {"master": 100, "tech": 26, "sales": 32, "corporate": 28, "solar": 32}
+
+# What a new row of a staff sheet holds, in sheet order; the sheet has one column more than
+# the master, ``q``, and lacks the two shares.
+STAFF_COLUMNS: list[str] = [
+    "gender", "location", "id", "national_id", "full_name", "job_title", "division", "split", "company", "status",
+    "contract_kind", "position_kind", "profile", "seniority", "q", "team", "sub_team", "cost_center",
+    "cost_center_finance", "manager", "start_date", "end_date", "change_date", "year_end", "fte_hours", "fte_hired",
+    "workday_pct", "fix_salary", "bonus", "allowances", "mileage", "total_pay",
+]
+
 # The text forms the sheets use.
 SHEET_DATE_FORMAT = "dd/MM/yyyy"
 SHEET_DATE_PATTERN = "d/M/yyyy"  # reads both 1/2/2022 and 01/02/2022

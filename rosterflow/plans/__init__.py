@@ -1,4 +1,4 @@
-from rosterflow.plans.contracts import latest_contract_diff, team_contract_rows
+from rosterflow.plans.contracts import append_staff, latest_contract_diff, team_contract_rows
 from rosterflow.plans.hr import employees_table, holiday_export, payroll_table, team_sheet_table
 from rosterflow.plans.report import roster_diff_report
 from rosterflow.plans.sync import RosterSync, master_snapshot, roster_sync
@@ -6,6 +6,7 @@ from rosterflow.plans.talent import talent_matrix_table
 
 __all__ = [
     "RosterSync",
+    "append_staff",
     "employees_table",
     "holiday_export",
     "latest_contract_diff",

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.functions.text import date_text, end_date_or_sentinel, parse_amount, parse_date
-from rosterflow.model import FIELD_CELLS, contains
-from rosterflow.operators.contracts import latest_contract, missing_contract_rows
+from rosterflow.functions.text import date_text, end_date_or_sentinel, null_text, parse_amount, parse_date
+from rosterflow.model import FIELD_CELLS, STAFF_COLUMNS, contains
+from rosterflow.operators.contracts import append_new_staff, latest_contract, missing_contract_rows
 from rosterflow.operators.diff import field_diff_each
+from rosterflow.operators.ordinal import append_rows
 from rosterflow.operators.patch import build_field_patches
 
 # Fields kept apart, and fields that are compared and patched.
@@ -113,6 +114,27 @@ def latest_contract_diff(
     return field_diff_each(latest, rows, keys, fields, nulls, carry)
 
 
+def append_staff(
+    master: DataFrame,
+    sheet: DataFrame,
+    division: str = "Solar",
+    on: Sequence[str] = ("full_name", "company"),
+    columns: Sequence[str] = STAFF_COLUMNS,
+    order: str = "row_ord",
+    sheet_row: str = "sheet_row",
+) -> DataFrame:
+    """New rows for a staff sheet, numbered after its last one: ``columns`` and ``sheet_row``.
+
+    A division's master rows that are active or joining and whose name and company the
+    sheet lacks, each different one once, in the order of their first copies.  Columns that the master
+    lacks are null, so each value stands under its own name.
+    """
+    held = [c for c in columns if c in master.columns]
+    fresh = append_new_staff(master, sheet, list(on), scope=contains("division", division), columns=held, order=order)
+    numbered = append_rows(sheet, fresh.withColumnRenamed(order, "__order"), "__order", sheet_row)
+    return numbered.select(*[F.col(c) if c in held else null_text().alias(c) for c in columns], sheet_row)
+
+
 def latest_contract_patches(diff: DataFrame, fields: Sequence[str] = PATCHED_FIELDS) -> DataFrame:
     """One cell patch per differing field of :func:`latest_contract_diff`."""
     values = {f: f"{f}_text" if f in ("end_date", "fix_salary", "bonus") else f"{f}_master" for f in fields}

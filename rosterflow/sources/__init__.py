@@ -1,4 +1,4 @@
-from rosterflow.sources.grid import promote_header, roster_from_grid, union_team_sheets
+from rosterflow.sources.grid import load_sheet, promote_header, roster_from_grid, union_team_sheets
 from rosterflow.sources.records import (
     CONTRACT_VERSIONS_SCHEMA,
     EMPLOYEES_SCHEMA,
@@ -24,6 +24,7 @@ __all__ = [
     "SUPPLEMENTS_SCHEMA",
     "TEAMS_SCHEMA",
     "jdbc_options",
+    "load_sheet",
     "promote_header",
     "read_json_records",
     "read_recruiting",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.functions.text import sheet_team
-from rosterflow.model import ROSTER_LABELS
+from rosterflow.model import ROSTER_LABELS, SHEET_WIDTHS
 from rosterflow.operators.frames import rename_columns
 
 TEAM_SHEET_PREFIX = "chapter_lead_"  # fixed value: how team sheets are named
@@ -76,6 +76,20 @@ def roster_from_grid(grid: DataFrame, max_cols: int | None = None, row_col: str
     return rename_columns(promote_header(grid, max_cols, row_col), ROSTER_LABELS)
 
 
+def load_sheet(grid: DataFrame, name: str, sheet: str | None = None) -> DataFrame:
+    """The master sheet, or a division's, at its declared width (``SHEET_WIDTHS``), ready for ``sinks``.
+
+    A division's rows carry ``sheet_row``, the master's ``row_ord``, their place among the data
+    rows from 0.  Columns beyond the width are left out, whatever they hold.
+    """
+    if name not in SHEET_WIDTHS:
+        raise ValueError(f"no width is declared for {name!r}; known are {sorted(SHEET_WIDTHS)}")
+    rows = rename_columns(promote_header(grid, SHEET_WIDTHS[name], "sheet_row", sheet=sheet), ROSTER_LABELS)
+    if name != "master":
+        return rows
+    return rows.withColumn("sheet_row", F.col("sheet_row") - 2).withColumnRenamed("sheet_row", "row_ord")
+
+
 def union_team_sheets(
     grids: DataFrame,
     teams: DataFrame,
