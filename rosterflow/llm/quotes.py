@@ -1,9 +1,11 @@
 """Quotation linking: find which message a reply quotes, and put conversations in reply order without quotes.
 
-A line's quote level is the number of ``>`` marks in front of it.  Lines are compared
-by the hash of their normalised content: without marks, in lower case, white space
-collapsed.  A quoted line belongs to the last earlier message of its conversation
-that wrote that line itself.
+A line's quote level is the number of ``>`` marks in front of it.  A passage is a run of
+lines of one level without a blank one between; passages are compared by the hash of their normalised
+content: without marks, in lower case, white space and line breaks collapsed, so that it
+doesn't matter where a mail program broke the lines.  A quoted passage belongs to the last
+earlier message of its conversation that wrote it itself.  A passage without an original may be
+part of one: its lines, and then its sentences, are looked up in the same way.
 """
 
 from __future__ import annotations
@@ -35,10 +37,9 @@ def parsed(text: Column) -> Column:
     )
 
 
-def own_lines(lines: Column) -> Column:
+def own_lines(lines: str) -> Column:
     """The lines that are no quotes and announce none."""
-    announces = lambda line, i: line.content.rlike(ANNOUNCES) & (F.get(lines, i + 1).level > 0)
-    return F.filter(lines, lambda line, i: (line.level == 0) & ~F.coalesce(announces(line, i), F.lit(False)))
+    return F.filter(lines, lambda line, i: (line.level == 0) & ~announcing(lines, i))
 
 
 def normalised(content: Column) -> Column:
@@ -50,36 +51,95 @@ def numbered(key: Column) -> Column:
     return F.coalesce(key.cast("bigint"), F.lit(NO_KEY))
 
 
-def links(lines: DataFrame) -> DataFrame:
-    """``conv, turn, level, origin, n``: how many quoted lines of a level come from the message ``origin``.
+def hashed(content: Column) -> Column:
+    return F.xxhash64(normalised(content))
+
 
-    ``lines`` has ``conv, turn, lines``.  The last earlier turn with the same line is
-    found by running maxima within blocks of turns, and over the blocks, so that a line
-    which very many messages hold is spread over tasks.
+def passages(lines: str = "lines") -> Column:
+    """The passages of a message: ``level, n`` (lines), ``content`` (lines joined by spaces) and ``parts`` (the lines).
+
+    Lines that are blank, or announce a quote, end a passage and are in none.
     """
-    exploded = lines.select("conv", "turn", F.explode(own_lines(F.col("lines"))).alias("line"))
-    line_hash = lambda: F.xxhash64(normalised(F.col("line.content"))).alias("line")
-    spoken = normalised(F.col("line.content")) != ""
-    written = exploded.where(spoken).select("conv", "turn", line_hash()).distinct().withColumn("origin", F.col("turn"))
-    quoted = (
-        lines.select("conv", "turn", F.explode("lines").alias("line")).where((F.col("line.level") > 0) & spoken)
-        .groupBy("conv", "turn", line_hash(), F.col("line.level").alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    events = written.select("conv", "line", "turn", "origin", F.lit(None).cast("int").alias("level"), F.lit(0).cast("bigint").alias("n"))
-    events = events.unionByName(quoted.withColumn("origin", F.lit(None).cast("bigint")))
-    events = events.where((F.col("conv") != NO_KEY) & (F.col("turn") != NO_KEY)).withColumn("block", F.expr(f"turn div {TURNS}"))
-    earlier = Window.partitionBy("conv", "line", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    blocks = Window.partitionBy("conv", "line").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lambda i: F.get(lines, i).content.rlike(r"\S") & ~announcing(lines, i)
+    joined = lambda i, j: F.coalesce(counts(i) & counts(j) & (F.get(lines, i).level == F.get(lines, j).level), F.lit(False))
+    every = F.sequence(F.lit(0), F.size(lines) - 1)
+    starts = F.filter(every, lambda i: counts(i) & ~joined(i - 1, i))
+    ends = F.filter(every, lambda i: counts(i) & ~joined(i, i + 1))
+
+    def passage(start: Column, end: Column) -> Column:
+        parts = F.transform(F.slice(lines, start + 1, end - start + 1), lambda x: x.content)
+        return F.struct(
+            F.get(lines, start).level.alias("level"), (end - start + 1).cast("bigint").alias("n"),
+            F.array_join(parts, " ").alias("content"), parts.alias("parts"),
+        )
+
+    return F.zip_with(starts, ends, passage)
+
+
+def announcing(lines: str, i: Column) -> Column:
+    """Whether a line of the writer's own announces the quote that follows it."""
+    own, next_ = F.get(lines, i), F.get(lines, i + 1)
+    return F.coalesce((own.level == 0) & own.content.rlike(ANNOUNCES) & (next_.level > 0), F.lit(False))
+
+
+def pieces_of(passage: Column) -> Column:
+    """What a passage may be found by in part: its lines, and its sentences of three words or more; ``kind`` tells which."""
+    sentences = F.filter(F.split(passage.content, r"(?<=[.!?])\s+"), lambda s: s.rlike(r"\S\s+\S+\s+\S"))
+    tagged = lambda units, kind: F.transform(units, lambda u: F.struct(F.lit(kind).alias("kind"), hashed(u).alias("unit")))
+    return F.concat(tagged(passage.parts, "line"), tagged(sentences, "sentence"))
+
+
+def origins(written: DataFrame, quoted: DataFrame) -> DataFrame:
+    """The rows of ``quoted`` (``conv, turn, unit`` and others) with ``origin``, the last earlier turn that wrote the unit, or null.
+
+    ``written`` has ``conv, turn, unit``, each once.  The last earlier turn is found by running
+    maxima within blocks of turns, and over the blocks, so that a unit which very many
+    messages hold is spread over tasks.
+    """
+    rest = [c for c in quoted.columns if c not in ("conv", "turn", "unit")]
+    events = written.select("conv", "unit", "turn", F.col("turn").alias("origin"), F.lit(None).cast(quoted.select(F.struct(*rest)).schema[0].dataType).alias("row"))
+    asked = quoted.select("conv", "unit", "turn", F.lit(None).cast("bigint").alias("origin"), F.struct(*rest).alias("row"))
+    events = events.unionByName(asked).withColumn("block", F.expr(f"turn div {TURNS}"))
+    earlier = Window.partitionBy("conv", "unit", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    blocks = Window.partitionBy("conv", "unit").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        events.groupBy("conv", "line", "block").agg(F.max("origin").alias("origin"))
-        .select("conv", "line", "block", F.max("origin").over(blocks).alias("carried")).where("carried IS NOT NULL")
+        events.groupBy("conv", "unit", "block").agg(F.max("origin").alias("origin"))
+        .select("conv", "unit", "block", F.max("origin").over(blocks).alias("carried")).where("carried IS NOT NULL")
     )
-    found = events.withColumn("near", F.max("origin").over(earlier)).where("level IS NOT NULL")
-    return (
-        found.join(carried, ["conv", "line", "block"], "left")
-        .select("conv", "turn", "level", "n", F.coalesce("near", "carried").alias("origin")).where("origin IS NOT NULL")
-        .groupBy("conv", "turn", "level", "origin").agg(F.sum("n").alias("n"))
+    found = events.withColumn("near", F.max("origin").over(earlier)).where("row IS NOT NULL")
+    joined = found.join(carried, ["conv", "unit", "block"], "left")
+    return joined.select("conv", "turn", "unit", "row.*", F.coalesce("near", "carried").alias("origin"))
+
+
+def links(lines: DataFrame) -> DataFrame:
+    """``conv, turn, level, origin, n``: how many quoted lines of a level come from the message ``origin``.
+
+    ``lines`` has ``conv, turn, lines``.  Parts of passages are looked up only for passages without an
+    original, in their conversations.
+    """
+    placed = lines.where((F.col("conv") != NO_KEY) & (F.col("turn") != NO_KEY)).select("conv", "turn", F.explode(passages()).alias("p"))
+    units = materialize(placed.select("conv", "turn", "p.level", "p.n", hashed(F.col("p.content")).alias("unit")), "passages")
+    written = units.where("level = 0").select("conv", "turn", "unit").distinct()
+    quoted = units.where("level > 0").groupBy("conv", "turn", "unit", "level").agg(F.sum("n").alias("n"))
+    first = materialize(origins(written, quoted), "origins")
+    whole = first.where("origin IS NOT NULL").select("conv", "turn", "level", "origin", "n")
+
+    lost = first.where("origin IS NULL").select("conv", "turn", "unit", "level").distinct()
+    known = placed.join(lost.select("conv").distinct(), "conv", "left_semi").withColumn("passage", hashed(F.col("p.content")))
+    parts = known.select("conv", "turn", "passage", "p.level", "p.n", F.explode(pieces_of(F.col("p"))).alias("x")).select(
+        "conv", "turn", "passage", "level", "n", "x.kind", "x.unit"
     )
+    asked = parts.where("level > 0").join(lost.withColumnRenamed("unit", "passage"), ["conv", "turn", "passage", "level"], "left_semi")
+    # a passage that a message repeats is asked for once, and counts as often as it stands there
+    asked = asked.groupBy("conv", "turn", "passage", "level", "n", "kind", "unit").agg(F.count(F.lit(1)).alias("times"))
+    found = origins(parts.where("level = 0").select("conv", "turn", "unit").distinct(), asked).where("origin IS NOT NULL")
+    found = materialize(found, "part_origins")
+    by_line = found.where("kind = 'line'").select("conv", "turn", "passage", "level", "origin", F.col("times").alias("n"))
+    best = found.where("kind = 'sentence'").join(by_line, ["conv", "turn", "passage", "level"], "left_anti")
+    best = best.groupBy("conv", "turn", "passage", "level", "n", "origin").agg(F.sum("times").alias("times"))
+    by_sentence = best.groupBy("conv", "turn", "passage", "level", "n").agg(F.max(F.struct("times", "origin")).alias("best"))
+    both = by_line.drop("passage").unionByName(by_sentence.select("conv", "turn", "level", F.col("best.origin").alias("origin"), "n"))
+    return whole.unionByName(both).groupBy("conv", "turn", "level", "origin").agg(F.sum("n").alias("n"))
 
 
 def parents(found: DataFrame) -> DataFrame:
@@ -163,7 +223,7 @@ def reply_ordered(
     bodies = materialize(
         lines.select(
             "conv", "turn", "role", F.size(spoken_quotes).cast("bigint").alias("quoted"),
-            F.regexp_replace(F.array_join(F.transform(own_lines(F.col("lines")), lambda x: x.content), "\n"), ends, "").alias("text"),
+            F.regexp_replace(F.array_join(F.transform(own_lines("lines"), lambda x: x.content), "\n"), ends, "").alias("text"),
         ),
         "bodies",
     )

@@ -33,6 +33,38 @@ def test_a_quote_of_nothing_known_starts_a_thread_and_threads_stay_together(spar
     assert [got[1, t].position for t in range(5)] == [0, 2, 1, 3, 4]
 
 
+PARAGRAPH = "We meet on Tuesday at nine in the old hall. Bring the signed papers and two pens. Parking is behind the house."
+
+
+def test_a_quote_with_other_line_breaks_finds_its_passage(spark):
+    got = ordered(spark, [
+        (1, 0, "user", f"Hello all,\n\n{PARAGRAPH}\n\nBye"),
+        (1, 1, "user", "> We meet on Tuesday at nine in\n> the old hall. Bring the signed\n> papers and two   pens. Parking\n> is behind the house.\nFine."),
+        (1, 2, "user", ">> We meet on Tuesday at nine in the old\n>> hall. Bring the signed papers and two pens. Parking is\n>> behind the house.\n> Fine.\nGood."),
+    ])
+    assert [got[1, t].parent_turn for t in range(3)] == [None, 0, 1]
+    assert [(got[1, t].quoted, got[1, t].linked) for t in range(3)] == [(0, 0), (4, 4), (4, 4)]
+    assert got[1, 2].text == "Good." and got[1, 2].depth == 2
+
+
+def test_parts_of_a_passage_are_found_by_lines_and_sentences(spark):
+    got = ordered(spark, [
+        (1, 0, "user", f"{PARAGRAPH}\nA second line of the same passage\nand a third one"),
+        (1, 1, "user", "> A second line of the same passage\nWhy?"),  # one line of it
+        (1, 2, "user", "> Bring the signed papers\n> and two pens.\nWhich papers?"),  # a sentence, broken anew
+        (1, 3, "user", "> Bring the\n> keys and a lamp.\nNo."),  # nobody wrote that
+        (2, 4, "user", "> Bring the signed papers and two pens.\nIn another conversation."),
+        (1, 5, "user", "> A second line of the same passage\n> and something else\nHm."),  # known and unknown lines
+    ])
+    assert [got[1, t].parent_turn for t in (0, 1, 2, 3, 5)] == [None, 0, 0, None, 0] and got[2, 4].parent_turn is None
+    assert [got[1, t].linked for t in (1, 2, 3, 5)] == [1, 2, 0, 1] and got[1, 5].quoted == 2
+
+
+def test_an_announcement_is_in_no_passage(spark):
+    got = ordered(spark, [(1, 0, "u", "One two three four."), (1, 1, "u", "Some words of mine\nOn Monday X wrote:\n> One two three four."), (1, 2, "u", "> Some words of mine\nYes.")])
+    assert got[1, 1].text == "Some words of mine" and got[1, 1].parent_turn == 0 and got[1, 2].parent_turn == 1
+
+
 def test_the_later_of_two_equal_originals_and_never_a_later_message(spark):
     got = ordered(spark, [(1, 0, "u", "same"), (1, 1, "u", "same"), (1, 2, "u", "> same\nx"), (1, 3, "u", "same"), (2, 5, "u", "> same\ny")])
     assert got[1, 2].parent_turn == 1
