@@ -4,7 +4,8 @@ Candidate strings are the maximal runs of token characters.  Over each of them a
 window slides one character at a time; the counts of its characters, and the sum of
 ``c * log2(c)`` that their entropy needs, are kept up by adding one character and
 taking one away.  Windows at or above the threshold of the candidate's character
-class are joined into spans, unless the allow-list knows the candidate.
+class are joined into spans, unless the allow-list knows the candidate.  The parts of a
+candidate between separators are candidates too.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+#: What parts the names, paths and keys of one candidate.
+SEPARATOR = re.compile(r"[+/_=-]")
 KINDS = ("assign", "access", "hex", "entropy")
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
 
@@ -114,13 +118,27 @@ def entropy_windows(candidate: str, window: int, bits: float) -> list[tuple[int,
 
 
 def entropy_spans(text: str, start: int, end: int, rule: EntropyRule, allowed: re.Pattern) -> list[tuple[str, int, int]]:
-    """High-entropy spans of the candidate ``text[start:end]``."""
-    candidate = text[start:end]
-    kind = character_class(candidate)
-    if not kind or allowed.fullmatch(candidate):
-        return []
-    bits = rule.hex_bits if kind == "hex" else rule.mixed_bits
-    return [("entropy", start + a, start + b) for a, b in entropy_windows(candidate, rule.window, bits)]
+    """High-entropy spans of the candidate ``text[start:end]``: as a whole, and of its parts between separators.
+
+    Each has a character class and an allow-list of its own, so that a name or a path in front of
+    a key neither raises what the key needs nor silences it.
+    """
+    cuts = [start - 1, *(start + m.start() for m in SEPARATOR.finditer(text[start:end])), end]
+    parts = [(a + 1, b) for a, b in pairwise(cuts) if b - a > rule.window]
+    found: list[tuple[int, int]] = []
+    for a, b in dict.fromkeys([(start, end), *parts]):
+        candidate = text[a:b]
+        kind = character_class(candidate)
+        if kind and not allowed.fullmatch(candidate):
+            bits = rule.hex_bits if kind == "hex" else rule.mixed_bits
+            found += [(a + x, a + y) for x, y in entropy_windows(candidate, rule.window, bits)]
+    joined: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if joined and a <= joined[-1][1]:
+            joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
+        else:
+            joined.append((a, b))
+    return [("entropy", a, b) for a, b in joined]
 
 
 def _runs(data: np.ndarray, table: np.ndarray, cuts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:

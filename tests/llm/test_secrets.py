@@ -67,6 +67,19 @@ def test_entropy_adds_spans_and_the_allow_list_takes_them_away():
     assert scan_texts([uuid], EntropyRule(allowed=()))[0] != []
 
 
+def test_names_and_paths_in_front_of_a_key_neither_hide_nor_silence_it():
+    pick = random.Random(8)
+    for size in (20, 32, 40):
+        for _ in range(200):
+            key = "".join(pick.choice("0123456789ABCDEF") for _ in range(size))
+            alone, named, placed = scan_texts([key, f"AUTH={key}", f"/home/sample/keys/{key}"])
+            shift = lambda spans, by: [(k, a + by, b + by) for k, a, b in spans]
+            for found, by in ((named, 5), (placed, 18)):
+                marked = {c for _, a, b in found for c in range(a, b)}
+                assert {c for _, a, b in shift(alone, by) for c in range(a, b)} <= marked
+    assert scan_texts(["/usr/share/sample/thononenenwhhathonwhedineringthea", "3f2b8c1e-9d4a-4b7f-8e21-0a9c5d6f7b13"]) == [[], []]
+
+
 def test_redaction_covers_unions():
     assert redacted("abcdef", [("a", 1, 3), ("b", 2, 4), ("c", 5, 6)], "*") == "a*e*"
     assert redacted("abc", [], "*") == "abc"
