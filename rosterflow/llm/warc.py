@@ -29,7 +29,6 @@ MAGIC = b"\x1f\x8b\x08"
 BLOCK = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "urn:page:"
-HEAD_LIMIT = 1 << 20
 ARCHIVE_BYTES = 1 << 30
 
 
@@ -183,7 +182,7 @@ def decode_member(window: Window, at: int) -> tuple[int, dict[str, str], bytes]
     """
     window.drop(at)
     inflate = zlib.decompressobj(31)
-    text, fields, used = bytearray(), None, 0
+    text, fields, used, seen = bytearray(), None, 0, 0
     while not inflate.eof:
         if used >= len(window.data) and not window.more():
             break
@@ -198,10 +197,9 @@ def decode_member(window: Window, at: int) -> tuple[int, dict[str, str], bytes]
         if fields is None:
             if not bytes(text[:7]).startswith(b"WARC/1."[: len(text)]):
                 return None
-            end = text.find(b"\r\n\r\n")
-            if end < 0:
-                if len(text) > HEAD_LIMIT or inflate.eof:
-                    return None
+            end = text.find(b"\r\n\r\n", seen)
+            if end < 0:  # a head has no limit: its url may be of any length
+                seen = max(0, len(text) - 3)
                 continue
             fields = parse_head(bytes(text[:end]))
             if fields is None:

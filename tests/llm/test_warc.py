@@ -37,6 +37,16 @@ def test_round_trip(spark, tmp_path):
     assert "\r" not in rows["urn:page:3"].url and rows["urn:page:9"].url is None
 
 
+def test_a_head_of_any_length_is_read(spark, tmp_path):
+    import random
+
+    pick = random.Random(1)
+    url = "http://a/" + "".join(pick.choice("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(2_500_000))
+    archives = write_archives(classify(frame(spark, [(1, url, "text"), (2, "u", "more")])), new_folder(f"file://{tmp_path}"))
+    rows = {r.record_id: r for r in read_archives(spark, archives, range_bytes=1 << 20).collect()}
+    assert len(rows) == 2 and rows["urn:page:1"].url == url and rows["urn:page:1"].payload == b"text"
+
+
 def test_repeats_and_empty(spark, tmp_path):
     df = frame(spark, [(1, "u", LONG), (1, "u", LONG), (2, "u", LONG)])
     assert sorted(r.record_type for r in classify(df).collect()) == ["response", "response", "revisit"]
