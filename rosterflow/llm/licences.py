@@ -10,6 +10,7 @@ a licence of its own takes that of the nearest directory above it that has a lic
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,20 +117,32 @@ def anchors(rows: list[tuple[int, str, str, int]], idf: dict[str, float], thresh
     """Terms of which a unit must hold one to reach the threshold with any template.
 
     By Cauchy-Schwarz, a unit without the anchors of a template has a cosine of at most
-    the norm of the template's other weights, over its whole norm.
+    the norm of the template's other weights, over its whole norm.  Of the heaviest terms and the
+    rarest ones that do, those that fewer files hold are taken.
     """
     found: set[str] = set()
     for number in {r[0] for r in rows}:
-        weights = sorted(((n * idf[t], t) for k, _, t, n in rows if k == number), reverse=True)
-        total = left = sum(w * w for w, _ in weights)
-        for w, t in weights:
-            if left < (threshold - 1e-9) ** 2 * total:
-                break
-            found.add(t)
-            left -= w * w
+        weights = {t: n * idf[t] for k, _, t, n in rows if k == number}
+        total = sum(w * w for w in weights.values())
+
+        def taken(order: list[str], weights: dict[str, float] = weights, total: float = total) -> list[str]:
+            left = total
+            for i, t in enumerate(order):
+                if left < (threshold - 1e-9) ** 2 * total:
+                    return order[:i]
+                left -= weights[t] ** 2
+            return order
+
+        heavy, rare = sorted(weights, key=lambda t: (-weights[t], t)), sorted(weights, key=lambda t: (-idf[t], -weights[t], t))
+        found.update(min(taken(heavy), taken(rare), key=lambda terms: held_by(terms, idf)))
     return sorted(found)
 
 
+def held_by(terms: list[str], idf: dict[str, float]) -> float:
+    """In proportion to how many files hold each of the terms, added up."""
+    return sum(math.exp(-idf[t]) for t in terms)
+
+
 def named(rows: list[tuple[int, str, str, int]]) -> dict[int, tuple[list[str], list[str]]]:
     """By template: the terms that a unit must have, and those that it must not have."""
     held: dict[int, tuple[str, set[str]]] = {}
@@ -144,11 +157,12 @@ def named(rows: list[tuple[int, str, str, int]]) -> dict[int, tuple[list[str], l
 
 
 def leading(rows: list[tuple[int, str, str, int]], idf: dict[str, float], threshold: float) -> list[str]:
-    """Terms of which a unit must hold one to match any template: the rarest of its name, or else its anchors."""
+    """Terms of which a unit must hold one to match any template: the rarest of its name or its anchors, whichever fewer files hold."""
     found: set[str] = set()
     for number, (must, _) in named(rows).items():
-        own = [r for r in rows if r[0] == number]
-        found.update([max(must, key=lambda t: (idf[t], t))] if must else anchors(own, idf, threshold))
+        by_weight = anchors([r for r in rows if r[0] == number], idf, threshold)
+        by_name = [max(must, key=lambda t: (idf[t], t))] if must else by_weight
+        found.update(min(by_name, by_weight, key=lambda terms: held_by(terms, idf)))
     return sorted(found)
 
 
@@ -210,17 +224,15 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     lead = leading(rows, idf, threshold)
     needed = F.array(*[F.lit(t) for t in lead])
     whole = F.when(base_name(F.col("path")).rlike(LICENCE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
-    # a file passes if one of the leading terms occurs anywhere; its units are then tested by terms
-    may = F.exists(needed, lambda t: F.contains(F.lower(F.col("text")), t))
-    passed = files.where(may)
+    # a file passes if it holds one of the leading terms; its units are then tested by themselves
+    passed = files.withColumn("all", terms(F.col("text"))).where(F.arrays_overlap("all", needed))
     lines = (
         passed.select("file", F.posexplode(F.concat(whole, F.split("text", "\n"))).alias("unit", "body"))
         .select("file", F.lit(0).alias("length"), "unit", terms(F.col("body")).alias("terms")).where(F.arrays_overlap("terms", needed))
     )
     # windows of each length that a template has, around the leading terms of the class
-    held = passed.select("file", terms(F.col("text")).alias("all")).where(F.arrays_overlap("all", needed))
     at = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.get("all", i).isin(lead))
-    held = held.select("file", "all", at.alias("at"))
+    held = passed.select("file", "all", at.alias("at"))
     starts = [window_starts(rows, idf, threshold, length) for length in window_lengths(rows)]
     windows = (
         held.select("file", "all", F.explode(F.array(*starts)).alias("of"))
@@ -283,7 +295,13 @@ def window_starts(rows: list[tuple[int, str, str, int]], idf: dict[str, float],
     here = F.filter("at", lambda i: F.get("all", i).isin(lead))
     first = lambda i: F.greatest(F.lit(0), F.floor((i - F.lit(length - step)) / F.lit(step)).cast("int"))
     cells = F.array_distinct(F.flatten(F.transform(here, lambda i: F.sequence(first(i), F.floor(i / F.lit(step)).cast("int")))))
-    return F.struct(F.lit(length).alias("length"), F.transform(cells, lambda c: c * F.lit(step)).alias("starts"))
+    # only windows with enough terms of one of the templates leave as rows
+    least = least_terms([r for r in rows if r[0] in numbers], idf, threshold)
+    own = {k: F.array(*[F.lit(t) for j, _, t, _ in rows if j == k]) for k in numbers}
+    window = lambda c: F.slice("all", c * F.lit(step) + F.lit(1), F.lit(length))
+    enough = lambda c: reduce(Column.__or__, (F.size(F.array_intersect(window(c), own[k])) >= least[k] for k in sorted(numbers)))
+    starts = F.transform(F.filter(cells, enough), lambda c: c * F.lit(step))
+    return F.struct(F.lit(length).alias("length"), starts.alias("starts"))
 
 
 def winning(windows: DataFrame) -> DataFrame:
