@@ -25,8 +25,9 @@ from rosterflow.session import materialize
 
 @dataclass(frozen=True)
 class HashPlan:
-    """``tables`` and ``probes`` (for each axis) set recall; measured figures are in the README.
+    """``tables`` and ``probes`` set recall; measured figures are in the README.
 
+    ``probes``: the buckets of a table that a query looks into, with one axis, two and more.
     ``per_bucket``: a further axis is used when it leaves that many vectors to a
     bucket in the mean, so fewer than ``2 * dimension * per_bucket`` vectors are compared
     without hashing.  ``block``: vectors or queries of a bucket that one task takes; a
@@ -34,7 +35,7 @@ class HashPlan:
     """
 
     tables: int = 8
-    probes: int = 16
+    probes: tuple[int, ...] = (16, 512, 4096)
     per_bucket: int = 64
     block: int = 8192
     seed: int = 20240501
@@ -42,6 +43,13 @@ class HashPlan:
     def axes(self, n: int, dimension: int) -> int:
         return max(0, int(math.log(max(1.0, n / self.per_bucket)) / math.log(2 * padded(dimension))))
 
+    def looks(self, axes: int) -> int:
+        """How many buckets of each table a query looks into at most."""
+        return self.probes[min(axes, len(self.probes)) - 1] if axes else 1
+
+
+SLICE_ROWS = 131_072
+
 
 def padded(dimension: int) -> int:
     return 1 << max(0, dimension - 1).bit_length()
@@ -80,17 +88,19 @@ def buckets(unit: np.ndarray, axes: int, plan: HashPlan) -> np.ndarray:
 
 
 def probed(unit: np.ndarray, axes: int, plan: HashPlan) -> np.ndarray:
-    """The buckets that each query looks into, nearest first: queries x tables x probes."""
+    """The buckets that each query looks into, nearest by the sum over their axes first: queries x tables x probes."""
     tables = plan.tables if axes else 1
     result = []
     for table in range(tables):
         scores, codes = np.zeros((len(unit), 1)), np.zeros((len(unit), 1), dtype=np.int64)
         for axis in range(axes):
             near = signed_axes(unit, table, axis, plan.seed)
-            best = np.argsort(-near, axis=1, kind="stable")[:, : plan.probes]
+            best = np.argsort(-near, axis=1, kind="stable")[:, : plan.looks(axes)]
             score = np.take_along_axis(near, best, axis=1)
             scores = (scores[:, :, None] + score[:, None, :]).reshape(len(unit), -1)
             codes = (codes[:, :, None] * near.shape[1] + best[:, None, :]).reshape(len(unit), -1)
+            first = np.argsort(-scores, axis=1, kind="stable")[:, : plan.looks(axes)]
+            scores, codes = np.take_along_axis(scores, first, axis=1), np.take_along_axis(codes, first, axis=1)
         result.append(codes)
     return np.stack(result, axis=1)
 
@@ -105,11 +115,13 @@ def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
 def coded(df: DataFrame, axes: dict[int, int], plan: HashPlan, many: bool, keys: str) -> DataFrame:
     """The rows with ``dim`` and the buckets, one row for each table (and probe, if ``many``)."""
     names = [f.split()[0] for f in keys.split(", ")]
+    # rows of a slice, so that what it gives rise to stays small
+    step = max(1, min(1024, SLICE_ROWS // (plan.tables * max(map(plan.looks, axes.values()), default=1) if many else 1)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                yield from code_part(batch.slice(start, 1024))
+            for start in range(0, batch.num_rows, step):
+                yield from code_part(batch.slice(start, step))
 
     def code_part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         column = batch.column("v")

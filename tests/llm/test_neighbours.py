@@ -1,10 +1,11 @@
 import math
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from rosterflow.llm import queries
-from rosterflow.llm.neighbours import HashPlan, hadamard, nearest
+from rosterflow.llm.neighbours import HashPlan, buckets, hadamard, nearest, probed, signed_axes
 
 SCHEMA = "vec_id bigint, embedding array<float>, id string, v string, ids string, bucket string"
 
@@ -76,6 +77,47 @@ def test_hashed_recall_with_a_cluster_of_copies(spark, block):
     assert hits / sum(map(len, want.values())) >= 0.9
 
 
+def recall(unit, asked, axes, plan):
+    """The share of the 10 nearest of each query that lie in one of the buckets it looks into."""
+    index, probes = buckets(unit, axes, plan), probed(unit[asked], axes, plan)
+    hits = 0
+    for q, codes in zip(asked, probes, strict=True):
+        distance = ((unit - unit[q]) ** 2).sum(axis=1)
+        distance[q] = np.inf
+        near = np.argsort(distance)[:10]
+        hits += sum(any(index[i, t] in codes[t] for t in range(plan.tables)) for i in near)
+    return hits / (10 * len(asked))
+
+
+@pytest.mark.parametrize("axes", [1, 2])
+def test_recall_of_the_given_vectors_with_more_axes(sf, axes):
+    rows = pq.read_table(f"{sf}/../sf0.1/embeddings.parquet").column("embedding").to_pylist()
+    unit = np.array(rows, dtype=float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    assert recall(unit, range(0, len(unit), 50), axes, HashPlan()) >= 0.9
+
+
+def test_buckets_are_probed_by_the_sum_over_their_axes():
+    unit = np.random.default_rng(3).normal(size=(4, 8))
+    plan = HashPlan(tables=2, probes=(5, 20))
+    near = [signed_axes(unit, 1, axis, plan.seed) for axis in range(2)]
+    for row, codes in enumerate(probed(unit, 2, plan)[:, 1]):
+        sums = {a * 16 + b: near[0][row, a] + near[1][row, b] for a in range(16) for b in range(16)}
+        assert sorted(sums[c] for c in codes.tolist()) == sorted(sums.values())[-20:]
+        assert codes[0] == buckets(unit, 2, plan)[row, 1]
+
+
+def test_two_axes_as_a_job(spark):
+    rng = np.random.default_rng(4)
+    rows = list(enumerate(rng.normal(size=(1200, 8)).tolist()))
+    df = frame(spark, rows)
+    plan = HashPlan(per_bucket=4, probes=(16, 128))
+    assert plan.axes(len(rows), 8) == 2
+    got, want = found(df, df.where("vec_id % 50 = 0"), plan=plan), brute(rows, [r for r in rows if r[0] % 50 == 0], 10)
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= 0.9
+
+
 def test_query(spark, sf):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = {}
