@@ -81,10 +81,13 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
         return None
     languages = sorted(r["lang"] for r in totals)
     count = {r["lang"]: r["count"] for r in totals}
-    nth = Window.partitionBy("lang").orderBy("h")
+    # in two steps, so that no task takes all hashes of a frequent language
+    least = lambda frame, *keys: frame.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("h"))).where(
+        F.col("nth") <= limits.docs_per_language
+    )
+    dealt = rows.select("lang", "h", F.pmod("h", F.lit(SPREAD)).alias("part")).where(F.col("lang").isin(languages))
     cutoffs = (
-        rows.select("lang", "h").where(F.col("lang").isin(languages))
-        .withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= limits.docs_per_language)
+        least(least(dealt, "lang", "part"), "lang")
         .groupBy("lang").agg(F.max("h").alias("cutoff")).collect()
     )
     # one row a language, at most `limits.languages`
@@ -136,6 +139,8 @@ def softmax_best(total: np.ndarray) -> tuple[int, float]:
     return best, float(1.0 / np.exp(total - total[best]).sum())
 
 
+#: Parts that the hashes of a language are dealt to before the smallest are taken.
+SPREAD = 64
 CACHED_WORDS, CACHED_CHARS = 200_000, 20_000_000
 
 
