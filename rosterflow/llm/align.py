@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.llm import ship
-from rosterflow.llm.batches import byte_slices, list_array, ragged, texts
+from rosterflow.llm.batches import byte_slices, held, list_array, ragged, texts
 from rosterflow.llm.packing import ByteTokenizer, cut
 from rosterflow.llm.pieces import PieceModel
 from rosterflow.session import materialize
@@ -95,19 +95,9 @@ class Written:
         return self.flat[ragged(self.starts[ids], self.lengths[ids])].tobytes()
 
 
-_BOTH: dict[tuple, tuple[PlainByteTokenizer, CachedPieces]] = {}
-
-
 def both_tokenizers(path: str, ranks: str, pieces: str) -> Callable[[], tuple[PlainByteTokenizer, CachedPieces]]:
     """A function that gives both, loaded once in each Python worker."""
-
-    def get() -> tuple[PlainByteTokenizer, CachedPieces]:
-        files = (path, ranks, pieces)
-        if files not in _BOTH:
-            _BOTH[files] = PlainByteTokenizer(path, ranks), CachedPieces(pieces)
-        return _BOTH[files]
-
-    return get
+    return lambda: held("align", (path, ranks, pieces), lambda: (PlainByteTokenizer(path, ranks), CachedPieces(pieces)))
 
 
 # ------------------------------------------------------------------ one slice

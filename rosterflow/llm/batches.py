@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -40,3 +43,46 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
     offsets = np.zeros(len(lengths) + 1, dtype=np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+_HELD: dict[tuple, Any] = {}
+_OWNER: list[str] = []
+
+
+def give_back() -> None:
+    """Return memory that this Python worker no longer uses to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone keeps freed memory unless asked
+    if trim is not None:
+        trim(0)
+
+
+def turn_of(owner: str) -> None:
+    """From now on this Python worker works for ``owner``: what other operators hold in it is given back.
+
+    Workers outlive stages, so the tokenizers and caches of one stage would fill memory in the next.
+    """
+    if _OWNER != [owner]:
+        _OWNER[:] = [owner]
+        _HELD.clear()
+        give_back()
+
+
+def in_turn(owner: str, read: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``read`` as a function for ``mapInArrow`` that starts and ends with no more memory than it needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_of(owner)
+        yield from read(batches)
+        give_back()
+
+    return run
+
+
+def held(owner: str, key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in each Python worker for as long as it works for ``owner``."""
+    turn_of(owner)
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]

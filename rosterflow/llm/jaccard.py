@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.llm import ship
-from rosterflow.llm.batches import byte_slices, list_array, ragged
+from rosterflow.llm.batches import byte_slices, in_turn, list_array, ragged
 from rosterflow.llm.components import components
 from rosterflow.session import materialize
 
@@ -51,7 +51,7 @@ class JoinPlan:
     longest: int = 4
     verification: float = 16.0
     bloom_bits: int = 1 << 26
-    flush: int = 1_000_000
+    flush: int = 500_000
     block: int = 2048
 
 
@@ -191,7 +191,7 @@ def frequencies(texts: DataFrame, plan: JoinPlan, parts: int) -> tuple[np.ndarra
         numbers = (np.int64(part) << 32) | found[many].astype(np.int64)
         return pa.table({"number": pa.array(numbers, pa.int64()), "df": pa.array(n[many], pa.int64())})
 
-    packed = texts.select("text").mapInArrow(count, "part int, keys binary, counts binary")
+    packed = texts.select("text").mapInArrow(in_turn("jaccard", count), "part int, keys binary, counts binary")
     counted = packed.groupBy("part").applyInArrow(add_up, "number bigint, df bigint")
     rows = counted.orderBy(F.desc("df"), "number").limit(plan.known).toPandas()  # at most plan.known rows
     rows = rows.sort_values("number")
@@ -304,7 +304,7 @@ def scan(texts: DataFrame, plan: JoinPlan, parts: int, known: Broadcast) -> Data
             yield from emit()
 
     ddl = "kind tinyint, id bigint, cls bigint, n bigint, ell int, p bigint, h bigint, end_df bigint, end_hash bigint, part int, tokens binary, owners binary, token bigint"
-    return materialize(texts.mapInArrow(read, ddl), "prefixes")
+    return materialize(texts.mapInArrow(in_turn("jaccard", read), ddl), "prefixes")
 
 
 def postings(scanned: DataFrame, plan: JoinPlan) -> DataFrame:
@@ -540,7 +540,7 @@ def shingle_sets(texts: DataFrame, wanted: DataFrame, classes: DataFrame, plan:
             tokens = flat[ragged((ends - counts)[keep], counts[keep])].view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), list_array(tokens, counts[keep], pa.int64())], ["cls", "tokens"])
 
-    return materialize(hashed.mapInArrow(read, "cls bigint, tokens array<bigint>"), "shingle_sets")
+    return materialize(hashed.mapInArrow(in_turn("jaccard", read), "cls bigint, tokens array<bigint>"), "shingle_sets")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", plan: JoinPlan = JoinPlan()) -> DataFrame:

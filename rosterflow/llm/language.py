@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.llm import ship
-from rosterflow.llm.batches import byte_slices
+from rosterflow.llm.batches import byte_slices, in_turn
 
 WORDS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -204,4 +204,4 @@ def identify(df: DataFrame, model: LanguageModel | None, key: str = "doc_id", te
                 ["key", "lang_pred", "score"],
             )
 
-    return picked.mapInArrow(score, f"key {kind}, lang_pred string, score double")
+    return picked.mapInArrow(in_turn("language", score), f"key {kind}, lang_pred string, score double")

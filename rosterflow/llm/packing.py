@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.llm import ship
-from rosterflow.llm.batches import byte_slices, texts
+from rosterflow.llm.batches import byte_slices, held, texts
 
 CAPACITY = 1024
 POOL = 4096
@@ -205,18 +205,9 @@ class ByteTokenizer:
         return np.frombuffer(packed + b"".join(map(self.spaced.__getitem__, rest)), dtype="<u4")
 
 
-_TOKENIZERS: dict[tuple, ByteTokenizer] = {}
-
-
 def byte_tokenizer(path: str, ranks: str | None) -> Callable[[], ByteTokenizer]:
     """A function that gives the tokenizer, loaded once in each Python worker."""
-
-    def get() -> ByteTokenizer:
-        if (path, ranks) not in _TOKENIZERS:
-            _TOKENIZERS[path, ranks] = ByteTokenizer(path, ranks)
-        return _TOKENIZERS[path, ranks]
-
-    return get
+    return lambda: held("packing", (path, ranks), lambda: ByteTokenizer(path, ranks))
 
 
 PIECE_COLUMNS = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.llm import ship
-from rosterflow.llm.batches import byte_slices, list_array, ragged, texts
+from rosterflow.llm.batches import byte_slices, held, list_array, ragged, texts
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
@@ -354,18 +354,9 @@ def tiles(lengths: set[int], longest: int) -> bool:
     return True
 
 
-_MODELS: dict[str, PieceModel] = {}
-
-
 def piece_model(path: str) -> Callable[[], PieceModel]:
     """A function that gives the model, loaded once in each Python worker."""
-
-    def get() -> PieceModel:
-        if path not in _MODELS:
-            _MODELS[path] = PieceModel(path)
-        return _MODELS[path]
-
-    return get
+    return lambda: held("pieces", (path,), lambda: PieceModel(path))
 
 
 def encode_pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", end: bool = True) -> DataFrame:
