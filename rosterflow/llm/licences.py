@@ -179,6 +179,21 @@ def least_terms(rows: list[tuple[int, str, str, int]], idf: dict[str, float], th
     return found
 
 
+def may_reach(idf: dict[str, float], rare: float, threshold: float) -> Column:
+    """Whether a unit's weight in terms of templates, ``hits``, is enough for the threshold with any template.
+
+    A cosine is at most the norm of those weights over the whole norm.  The ``d`` different
+    terms outside, ``o`` in all, have a norm of at least ``rare * o / sqrt(d)``.
+    """
+    weights = F.create_map(*[F.lit(x) for pair in sorted(idf.items()) for x in pair])
+    times = lambda t: F.size(F.filter("inside", lambda x: x == t))
+    held = F.aggregate("hits", F.lit(0.0), lambda total, t: total + F.pow(times(t) * F.element_at(weights, t), 2))
+    outside = (F.size("terms") - F.size("inside")).cast("double")
+    different = F.greatest(F.size(F.array_distinct("terms")) - F.size("hits"), F.lit(1))
+    square = (threshold - 1e-9) ** 2
+    return held * (1 - square) >= square * rare * rare * outside * outside / different
+
+
 def window_length(n: int) -> int:
     """The length of the windows for a template of ``n`` terms: ``n``, or for long ones the next of few lengths."""
     return n if n <= 12 else math.ceil(1.15 ** math.ceil(round(math.log(n, 1.15), 6)))
@@ -246,8 +261,9 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
         F.struct(F.lit(lengths.get(k, 0)).alias("length"), F.lit(m).alias("least"), F.array(*[F.lit(r[2]) for r in rows if r[0] == k]).alias("own"))
         for k, m in sorted(least.items())
     ])
-    hits = F.array_intersect("terms", F.array(*[F.lit(t) for t in vocabulary]))
-    units = lines.unionByName(windows).withColumn("hits", hits).where(F.exists(enough, lambda x: (
+    # what lies outside the templates' terms weighs the most, so units with too much of it end here
+    units = lines.unionByName(windows).withColumn("inside", F.filter("terms", lambda t: t.isin(vocabulary)))
+    units = units.withColumn("hits", F.array_distinct("inside")).where(may_reach(idf, rare, threshold)).where(F.exists(enough, lambda x: (
         ((F.col("length") == 0) | (x.length == F.col("length"))) & (F.size("hits") >= x.least)
         & (F.size(F.array_intersect("hits", x.own)) >= x.least)
     )))
