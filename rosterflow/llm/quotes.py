@@ -117,18 +117,25 @@ def links(lines: DataFrame) -> DataFrame:
     ``lines`` has ``conv, turn, lines``.  Parts of passages are looked up only for passages without an
     original, in their conversations.
     """
-    placed = lines.where((F.col("conv") != NO_KEY) & (F.col("turn") != NO_KEY)).select("conv", "turn", F.explode(passages()).alias("p"))
+    keyed = lines.where((F.col("conv") != NO_KEY) & (F.col("turn") != NO_KEY))
+    placed = keyed.select("conv", "turn", F.explode(passages()).alias("p"))
     units = materialize(placed.select("conv", "turn", "p.level", "p.n", hashed(F.col("p.content")).alias("unit")), "passages")
     written = units.where("level = 0").select("conv", "turn", "unit").distinct()
     quoted = units.where("level > 0").groupBy("conv", "turn", "unit", "level").agg(F.sum("n").alias("n"))
     first = materialize(origins(written, quoted), "origins")
     whole = first.where("origin IS NOT NULL").select("conv", "turn", "level", "origin", "n")
 
-    lost = first.where("origin IS NULL").select("conv", "turn", "unit", "level").distinct()
-    known = placed.join(lost.select("conv").distinct(), "conv", "left_semi").withColumn("passage", hashed(F.col("p.content")))
+    lost = materialize(first.where("origin IS NULL").select("conv", "turn", "unit", "level").distinct(), "lost")
+    if lost.isEmpty():
+        return added_up(whole)
+    # the conversations that ask are known before any message is taken apart again, and its parts are made once
+    asking = materialize(lost.select("conv").distinct(), "asking")
+    known = keyed.join(asking, "conv", "left_semi").select("conv", "turn", F.explode(passages()).alias("p"))
+    known = known.withColumn("passage", hashed(F.col("p.content")))
     parts = known.select("conv", "turn", "passage", "p.level", "p.n", F.explode(pieces_of(F.col("p"))).alias("x")).select(
         "conv", "turn", "passage", "level", "n", "x.kind", "x.unit"
     )
+    parts = materialize(parts, "parts")
     asked = parts.where("level > 0").join(lost.withColumnRenamed("unit", "passage"), ["conv", "turn", "passage", "level"], "left_semi")
     # a passage that a message repeats is asked for once, and counts as often as it stands there
     asked = asked.groupBy("conv", "turn", "passage", "level", "n", "kind", "unit").agg(F.count(F.lit(1)).alias("times"))
@@ -139,7 +146,11 @@ def links(lines: DataFrame) -> DataFrame:
     best = best.groupBy("conv", "turn", "passage", "level", "n", "origin").agg(F.sum("times").alias("times"))
     by_sentence = best.groupBy("conv", "turn", "passage", "level", "n").agg(F.max(F.struct("times", "origin")).alias("best"))
     both = by_line.drop("passage").unionByName(by_sentence.select("conv", "turn", "level", F.col("best.origin").alias("origin"), "n"))
-    return whole.unionByName(both).groupBy("conv", "turn", "level", "origin").agg(F.sum("n").alias("n"))
+    return added_up(whole.unionByName(both))
+
+
+def added_up(found: DataFrame) -> DataFrame:
+    return found.groupBy("conv", "turn", "level", "origin").agg(F.sum("n").alias("n"))
 
 
 def parents(found: DataFrame) -> DataFrame:

@@ -106,3 +106,14 @@ def test_long_texts_and_deep_quotes(spark, text):
 def test_no_python_in_the_plan(spark, sf):
     plan = queries.QUERIES["op1_quotes"](spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("last, times", [("> b", 1), ("> unheard", 2)])
+def test_messages_are_taken_apart_once_and_again_only_for_lost_passages(spark, monkeypatch, last, times):
+    from rosterflow.llm import quotes
+
+    written, plain = [], quotes.materialize
+    monkeypatch.setattr(quotes, "materialize", lambda df, name="frame": written.append(df) or plain(df, name))
+    ordered(spark, [(1, 0, "u", "a"), (1, 1, "u", "> a\nb"), (1, 2, "u", f"{last}\nc")])
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in written]
+    assert sum(p.count("Generate explode(zip_with(") for p in plans) == times
