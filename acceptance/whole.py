@@ -94,9 +94,12 @@ def _grid(spark, sf_dir, name):
     rows = wide_master(spark, sf_dir)
     if name != "master":
         rows = division_filter(rows, DIVISIONS[name])
-    beyond = [F.concat(F.lit(f"{c}-"), F.col("row_ord").cast("string")) for c in _BEYOND] if name == "master" else [F.lit("beyond")]
-    cells = rows.select((F.col("row_ord") + 1).alias("row_ord"), F.array(*ROSTER_COLUMNS, *beyond).alias("cells"))
-    labels = [*ROSTER_LABELS, *(_BEYOND if name == "master" else ["beyond"])]
+    further = _BEYOND if name == "master" else ["beyond"]
+    # lambdas over the names: one expression for each cell makes a method too long for the JVM to compile
+    named = lambda text: F.transform(F.array(*[F.lit(f"{c}-") for c in further]), lambda c: F.concat(c, text))
+    beyond = F.flatten(F.transform(F.array(F.col("row_ord").cast("string")), named)) if name == "master" else F.array(F.lit("beyond"))
+    cells = rows.select((F.col("row_ord") + 1).alias("row_ord"), F.concat(F.array(*ROSTER_COLUMNS), beyond).alias("cells"))
+    labels = [*ROSTER_LABELS, *further]
     header = spark.createDataFrame([(0, labels)], "row_ord bigint, cells array<string>")
     return header.unionByName(cells)
 

@@ -60,3 +60,18 @@ def test_append_job(spark):
     empty = append_staff(master, sheet.limit(0))
     assert [r.sheet_row for r in empty.orderBy("sheet_row").collect()] == [2, 3, 4, 5]
     assert append_staff(master.limit(0), sheet).count() == 0
+
+
+def test_the_master_grid_has_every_cell_and_no_method_too_long_to_compile(spark, tmp_path):
+    from acceptance import whole
+
+    rows = [(1, 7, "O", 1234.5, "1-URGENT"), (2, None, None, None, None), (None, 8, "F", 2.0, "2-HIGH")]
+    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string")
+    orders.selectExpr("*", "timestamp '1995-03-04 00:00:00' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    grid = {r.row_ord: r.cells for r in whole._grid(spark, str(tmp_path), "master").collect()}
+    assert grid[2][33:] == [f"extra_{i}-1" for i in range(34, 104)] and grid[3][33:] == [f"extra_{i}-2" for i in range(34, 104)]
+    assert len(grid[2]) == 103 and grid[2][6] == "Technology" and grid[None][33:] == [None] * 70
+    loaded = whole.load_sheet_master(spark, str(tmp_path))
+    assert {(r.row_ord, r.extra_34, r.extra_100) for r in loaded.collect()} == {(1, "extra_34-1", "extra_100-1"), (2, "extra_34-2", "extra_100-2")}
+    codes = loaded._jdf.queryExecution().debug().codegenToSeq()
+    assert all(codes.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(codes.size()))
