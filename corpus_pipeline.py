@@ -22,6 +22,8 @@ from rosterflow.session import shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LETTER = r"\p{L}"
+#: Parts of texts that a packing worker remembers, within a task: workers stand beside an executor that other stages have filled.
+REMEMBERED = 250_000
 
 
 def documents(docs: DataFrame) -> DataFrame:
@@ -60,7 +62,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token windows, without the ids: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken")
-    return pack(documents(docs), *files, keep_ids=False).withColumnRenamed("key", "doc_id")
+    pieces = pack(documents(docs), *files, keep_ids=False, cached=REMEMBERED, keep_parts=False)
+    return pieces.withColumnRenamed("key", "doc_id")
 
 
 STAGES = [

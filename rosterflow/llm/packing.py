@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.llm import ship
-from rosterflow.llm.batches import byte_slices, held, texts
+from rosterflow.llm.batches import byte_slices, give_back, held, texts
 
 CAPACITY = 1024
 POOL = 4096
@@ -152,14 +152,15 @@ def cut(text: str) -> list[str]:
 class SpacedParts(dict):
     """Packed ids of parts behind a space; all forgotten when there are too many."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
+    def __init__(self, encode: Callable[[str], bytes], most: int = CACHED):
         super().__init__()
         self.encode = encode
+        self.most = most
 
     def __missing__(self, part: str) -> bytes:
         packed = self.encode(" " + part)
         if len(part) <= 64:
-            if len(self) >= CACHED:
+            if len(self) >= self.most:
                 self.clear()
             self[part] = packed
         return packed
@@ -175,7 +176,7 @@ class ByteTokenizer:
     special token's text, by ``tokenizers`` itself.
     """
 
-    def __init__(self, path: str, ranks: str | None = None):
+    def __init__(self, path: str, ranks: str | None = None, cached: int = CACHED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -188,7 +189,7 @@ class ByteTokenizer:
             with open(ranks, "rb") as rows:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rows)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.spaced = SpacedParts(self.part)
+        self.spaced = SpacedParts(self.part, cached)
 
     def slow(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -205,9 +206,9 @@ class ByteTokenizer:
         return np.frombuffer(packed + b"".join(map(self.spaced.__getitem__, rest)), dtype="<u4")
 
 
-def byte_tokenizer(path: str, ranks: str | None) -> Callable[[], ByteTokenizer]:
+def byte_tokenizer(path: str, ranks: str | None, cached: int = CACHED) -> Callable[[], ByteTokenizer]:
     """A function that gives the tokenizer, loaded once in each Python worker."""
-    return lambda: held("packing", (path, ranks), lambda: ByteTokenizer(path, ranks))
+    return lambda: held("packing", (path, ranks, cached), lambda: ByteTokenizer(path, ranks, cached))
 
 
 PIECE_COLUMNS = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -215,7 +216,8 @@ PIECE_COLUMNS = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigin
 
 def pack(
     df: DataFrame, path: str, ranks: str | None = None, key: str = "doc_id", text: str = "text", end_id: int = 0,
-    capacity: int = CAPACITY, pool: int = POOL, keep_ids: bool = True,
+    capacity: int = CAPACITY, pool: int = POOL, keep_ids: bool = True, cached: int = CACHED,
+    keep_parts: bool = True,
 ) -> DataFrame:
     """Pieces of every whole text: ``key, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and ``ids``.
 
@@ -225,12 +227,13 @@ def pack(
     Rows are packed one by one, so repeated rows are packed again; an empty frame gives no
     pieces.  Sequence ids are unique in the result, with gaps between tasks.  A task
     that runs again packs the same rows by itself.  Memory: ``pool`` remainders of fewer
-    than ``capacity`` ids, and a slice of texts.  ``keep_ids=False`` leaves ``ids`` out.
+    than ``capacity`` ids, a slice of texts, and the ids of ``cached`` parts of texts, which
+    a Python worker keeps after the task unless ``keep_parts=False``.  ``keep_ids=False`` leaves ``ids`` out.
     """
     ship(df.sparkSession)
     picked = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = picked.schema["key"].dataType.simpleString()
-    tokenizer = byte_tokenizer(path, ranks)
+    tokenizer = byte_tokenizer(path, ranks, cached)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer().encode
@@ -246,6 +249,9 @@ def pack(
             schema = part.schema
         if packer.size:
             yield batch(list(packer.finish()), schema.field("key").type)
+        if not keep_parts:
+            tokenizer().spaced.clear()
+            give_back()
 
     def batch(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
         columns = [

@@ -88,3 +88,39 @@ def test_rows(spark, docs):
     assert sum(r.length for r in rows) == 1 + 1 + 1 + 4
     assert all(len(r.ids) == r.length for r in rows)
     assert pack(df.limit(0), *PATHS).count() == 0
+
+
+def test_a_worker_remembers_no_more_parts_than_told(spark, docs, monkeypatch):
+    text = " ".join(f"w{i} x{i % 7}" for i in range(500))
+    few, all_ = ByteTokenizer(*PATHS, cached=50), ByteTokenizer(*PATHS)
+    assert few.encode(text).tolist() == all_.encode(text).tolist()
+    assert len(few.spaced) <= 50 < len(all_.spaced)
+    pieces = [sorted(map(tuple, pack(docs([(1, text), (2, text)]), *PATHS, keep_ids=False, **more).collect())) for more in ({}, {"cached": 50, "keep_parts": False})]
+    assert pieces[0] == pieces[1]
+    import corpus_pipeline
+
+    told = []
+    monkeypatch.setattr(corpus_pipeline, "pack", lambda df, *files, **more: told.append((more["cached"], more["keep_parts"])) or pack(df, *files, **more))
+    corpus_pipeline.packing(spark, docs([(1, text)]), "")
+    assert told == [(250_000, False)]
+
+
+def test_a_worker_holds_no_parts_after_the_task(monkeypatch):
+    """What a task of the pipeline leaves in its Python worker, run here without one."""
+    import pyarrow as pa
+    from rosterflow.llm import batches, packing
+
+    class Frame:  # gives the function that runs in tasks
+        class sparkSession: ...
+        schema = {"key": type("Field", (), {"dataType": type("Kind", (), {"simpleString": lambda self: "bigint"})()})}
+        select = lambda self, *columns: self
+        mapInArrow = lambda self, run, ddl: run
+
+    monkeypatch.setattr(packing, "ship", lambda spark: None)
+    monkeypatch.setattr(packing.F, "col", lambda name: type("Column", (), {"alias": lambda s, n: s, "cast": lambda s, t: s})())
+    monkeypatch.setattr(packing, "TaskContext", type("Context", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda s: 0})())}))
+    rows = pa.RecordBatch.from_pydict({"key": [1], "text": ["one two three"]})
+    for keep, left in ((True, 2), (False, 0)):
+        monkeypatch.setattr(batches, "_HELD", {})
+        assert sum(b.num_rows for b in pack(Frame(), *PATHS, keep_ids=False, keep_parts=keep)(iter([rows]))) == 1
+        assert [len(t.spaced) for t in batches._HELD.values()] == [left]
