@@ -9,7 +9,8 @@ two neighbouring ends of any side lies one link: the two tokens that cover those
 How many documents link a pair of ids is counted in each chunk of texts by ``group_by``; Spark adds
 the chunks up and finds each id's most frequent partner.  The totals come back to the
 chunks that asked, one row for each different pair of a chunk, so that no task
-holds the table of all pairs.
+holds the table of all pairs.  Every row belongs to one text or one pair: a task reads the answers
+to one chunk, then its texts, and never holds several chunks.
 """
 
 from __future__ import annotations
@@ -27,23 +28,44 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm import ship
 from rosterflow.llm.batches import byte_slices, held, list_array, ragged, texts
-from rosterflow.llm.packing import ByteTokenizer, cut
+from rosterflow.llm.packing import ByteTokenizer, SpacedParts, cut
 from rosterflow.llm.pieces import PieceModel
 from rosterflow.session import materialize
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 CHUNK_BYTES = 8 << 20
 WINDOW = 1 << 19
-CACHED = 600_000
+#: Words that each side remembers: two workers stand beside an executor whose heap fills as the input grows.
+CACHED = 200_000
 #: Bits that hold a pair of ids in a key of (document, pair).
 PAIR_BITS = 34
 
 
+class RecentParts(SpacedParts):
+    """Packed ids of parts behind a space; of those seen before the newer half, only what is met again stays."""
+
+    def __init__(self, encode: Callable[[str], bytes], most: int):
+        super().__init__(encode, most)
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        packed = self.older.get(part)
+        if packed is None:
+            packed = self.encode(" " + part)
+        if len(part) <= 64:
+            if len(self) >= self.most // 2:
+                self.older = dict(self)
+                self.clear()
+            self[part] = packed
+        return packed
+
+
 class PlainByteTokenizer(ByteTokenizer):
     """Ids of a space and a text, in which the names of special tokens are ordinary text."""
 
     def __init__(self, path: str, ranks: str):
         super().__init__(path, ranks)
+        self.spaced = RecentParts(self.part, CACHED)
         self.tokenizer.encode_special_tokens = True
         self.special = []
         with open(ranks, "rb") as rows:
@@ -58,27 +80,33 @@ class PlainByteTokenizer(ByteTokenizer):
 
 
 class CachedPieces:
-    """Pieces of texts, with words kept that were seen before; all forgotten when there are too many."""
+    """Pieces of texts, with words kept that were seen before; of those before the newer half, only what is met again stays."""
 
     def __init__(self, path: str):
         self.model = PieceModel(path)
         self.size = self.model.size
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         m = self.model
         self.written = Written([m.out[s : s + n].tobytes() for s, n in zip(m.out_start.tolist(), m.out_length.tolist(), strict=True)])
 
     def encode(self, values: list[str]) -> list[bytes]:
         words = [self.model.split(v) for v in values]
-        fresh = list({w for ws in words for w in ws if w not in self.seen})
-        if fresh:
-            if len(self.seen) + len(fresh) > CACHED:
-                self.seen = {}
-                fresh = list({w for ws in words for w in ws})
-            ids, sizes = self.model.encode_words(fresh)
+        fresh = {w for ws in words for w in ws if w not in self.seen}
+        if fresh and len(self.seen) + len(fresh) > CACHED // 2:
+            self.older, self.seen = self.seen, {}
+            fresh = {w for ws in words for w in ws}
+        known = {w: self.older[w] for w in fresh if w in self.older}
+        new = [w for w in fresh if w not in known]
+        self.seen.update(known)
+        if new:
+            ids, sizes = self.model.encode_words(new)
             data, ends = ids.astype("<u4").tobytes(), np.cumsum(sizes * 4).tolist()
-            self.seen.update(zip(fresh, (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+            self.seen.update(zip(new, (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
         packed = [b"".join(map(self.seen.__getitem__, ws)) for ws in words]
-        if any(len(w) > 64 for w in fresh):
+        if len(self.seen) > CACHED // 2:  # words of one slice alone
+            self.seen = {}
+        if any(len(w) > 64 for w in new):
             self.seen = {w: p for w, p in self.seen.items() if len(w) <= 64}
         return packed
 
@@ -191,7 +219,7 @@ COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 class Chunk:
-    """What a chunk of texts leaves: one row for each text, and its pairs of ids by document."""
+    """What a chunk of texts leaves: one row for each text, with its pairs of ids by their place among the chunk's."""
 
     def __init__(self, number: int, first: PlainByteTokenizer, second: CachedPieces, names: pa.Array):
         self.number, self.first, self.second, self.names = number, first, second, names
@@ -232,22 +260,29 @@ class Chunk:
         self.rows["groups_sha256"] += group_digests(flat_a, flat_b, last_a, last_b, row_a[last_a], n, self.names)
         self.rows["sizes"] += count(keys >> PAIR_BITS)
         self.codes.append(keys & ((1 << PAIR_BITS) - 1))
-        self.times.append(times)
+        self.times.append(times.astype(np.int32))
 
     def finish(self, key: pa.DataType) -> pa.RecordBatch:
-        """The chunk as one row; ``pairs`` are its different pairs, ``docs`` how many of its texts link them."""
-        codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.int64)
+        """One row for each text, over which the chunk's different ``pairs`` are spread.
+
+        ``docs`` is how many of the chunk's texts link a pair, ``base`` the place of a row's first pair.
+        """
+        codes, times = np.concatenate(self.codes), np.concatenate(self.times)
         counted = pa.table({"pair": codes}).group_by("pair", use_threads=False).aggregate([("pair", "count")]).sort_by("pair")
         pairs = counted.column("pair").to_numpy()
+        rows = len(self.rows["key"])
+        ends = np.arange(rows + 1) * len(pairs) // rows
+        spread, sizes = np.diff(ends), np.array(self.rows["sizes"], dtype=np.int64)
         columns = {
-            "chunk": pa.array([self.number], pa.int64()),
-            "pairs": pa.array([pairs], pa.list_(pa.int64())),
-            "docs": pa.array([counted.column("pair_count").to_numpy()], pa.list_(pa.int64())),
-            "key": pa.array([self.rows["key"]], pa.list_(key)),
-            **{c: pa.array([self.rows[c]], pa.list_(pa.int64())) for c in (*COUNTS, "sizes")},
-            "groups_sha256": pa.array([self.rows["groups_sha256"]], pa.list_(pa.string())),
-            "places": pa.array([np.searchsorted(pairs, codes)], pa.list_(pa.int32())),
-            "times": pa.array([np.concatenate(self.times) if self.times else codes], pa.list_(pa.int32())),
+            "chunk": pa.array(np.full(rows, self.number, dtype=np.int64)),
+            "base": pa.array(ends[:-1]),
+            "pairs": list_array(pairs, spread, pa.int64()),
+            "docs": list_array(counted.column("pair_count").to_numpy(), spread, pa.int64()),
+            "key": pa.array(self.rows["key"], key),
+            **{c: pa.array(self.rows[c], pa.int64()) for c in COUNTS},
+            "groups_sha256": pa.array(self.rows["groups_sha256"], pa.string()),
+            "places": list_array(np.searchsorted(pairs, codes).astype(np.int32), sizes, pa.int32()),
+            "times": list_array(times, sizes, pa.int32()),
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
@@ -256,7 +291,7 @@ class Chunk:
 
 
 def chunks(df: DataFrame, path: str, ranks: str, pieces: str, key: str, text: str, chunk_bytes: int) -> DataFrame:
-    """One row for each chunk of texts, written to the shared folder: texts are encoded once."""
+    """The rows of :meth:`Chunk.finish`, written to the shared folder: texts are encoded once."""
     ship(df.sparkSession)
     picked = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = picked.schema["key"].dataType.simpleString()
@@ -276,8 +311,8 @@ def chunks(df: DataFrame, path: str, ranks: str, pieces: str, key: str, text: st
         if chunk:
             yield chunk.finish(part.schema.field("key").type)
 
-    lists_of = ", ".join(f"{c} array<bigint>" for c in (*COUNTS, "sizes"))
-    schema = f"chunk bigint, pairs array<bigint>, docs array<bigint>, key array<{kind}>, {lists_of}, groups_sha256 array<string>, places array<int>, times array<int>"
+    counts = ", ".join(f"{c} bigint" for c in COUNTS)
+    schema = f"chunk bigint, base bigint, pairs array<bigint>, docs array<bigint>, key {kind}, {counts}, groups_sha256 string, places array<int>, times array<int>"
     return materialize(picked.mapInArrow(read, schema), "chunks")
 
 
@@ -301,32 +336,42 @@ def align(
     second (``pieces``) the text, before which it puts a space itself.  A text that is null or empty, or
     whose bytes either side doesn't give back, has no tokens: zeros, and an empty digest.  Rows that
     repeat count as documents of their own; a null key stays null; an empty table gives no
-    rows.  A task holds one chunk of texts (one text at least).
+    rows.  A task holds one chunk of texts (one text at least), and later the counts of one chunk's pairs and
+    a batch of its texts' links; a Python worker remembers ``CACHED`` words for each tokenizer.
     """
     made = chunks(df, path, ranks, pieces, key, text, chunk_bytes)
-    kind = made.schema["key"].dataType.elementType.simpleString()
-    width = PieceModel(pieces).size
-    totals = pair_counts(made, width)
-    asked = made.select("chunk", F.posexplode("pairs").alias("place", "pair"))
-    answered = asked.join(totals, "pair").groupBy(F.col("chunk").alias("of")).agg(F.sort_array(F.collect_list(F.struct("place", "docs", "best"))).alias("found"))
-    columns = ["key", *COUNTS, "groups_sha256", "sizes", "places", "times"]
-    joined = made.select("chunk", *columns).join(answered, F.col("chunk") == F.col("of"), "left").select(
-        *columns, F.col("found.docs").alias("docs"), F.col("found.best").alias("best")
-    )
+    kind = made.schema["key"].dataType.simpleString()
+    totals = pair_counts(made, PieceModel(pieces).size)
+    asked = made.select("chunk", "base", F.posexplode("pairs").alias("place", "pair"))
+    answered = asked.join(totals, "pair").select("chunk", (F.col("base") + F.col("place")).alias("place"), "docs", "best")
+    linked = made.select("chunk", F.struct("key", *COUNTS, "groups_sha256", "places", "times").alias("doc"))
+    both = answered.unionByName(linked, allowMissingColumns=True)
+    joined = both.repartition("chunk").sortWithinPartitions("chunk", F.col("place").asc_nulls_last())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held = None, []  # the answers to a chunk come first, by place
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                flat = {c: pc.list_flatten(row.column(c)) for c in row.schema.names}
-                sizes = flat["sizes"].to_numpy()
-                of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-                places, times = flat["places"].to_numpy(), flat["times"].to_numpy().astype(np.int64)
-                docs = flat["docs"].to_numpy()[places] if len(places) else times
-                best = flat["best"].to_numpy(zero_copy_only=False)[places] if len(places) else times
-                summed = {"n_best": sums_by(of, times * best, len(sizes)), "count_sum": sums_by(of, times * docs, len(sizes))}
-                arrays = [flat["key"], *[flat[c] for c in COUNTS], *map(pa.array, summed.values()), flat["groups_sha256"]]
-                yield pa.RecordBatch.from_arrays(arrays, ["key", *COUNTS, *summed, "groups_sha256"])
+            of = batch.column("chunk").to_numpy()
+            answers = np.cumsum(np.r_[0, batch.column("place").is_valid().to_numpy(zero_copy_only=False)])
+            starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else of
+            for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(of)], strict=True):
+                if of[start] != chunk:
+                    chunk, held = of[start], []
+                n = int(answers[stop] - answers[start])
+                if n:
+                    held.append([batch.column(c).slice(start, n).to_numpy(zero_copy_only=False) for c in ("docs", "best")])
+                if start + n < stop:
+                    held = [[np.concatenate(parts) for parts in zip(*held, strict=True)]] if held else []
+                    yield summed(batch.column("doc").slice(start + n, stop - start - n), *held)
+
+    def summed(rows: pa.StructArray, held: list[np.ndarray] | None = None) -> pa.RecordBatch:
+        flat = dict(zip([f.name for f in rows.type], rows.flatten(), strict=True))
+        of = pc.list_parent_indices(flat["places"])
+        places, times = pc.list_flatten(flat["places"]).to_numpy(), pc.list_flatten(flat["times"]).to_numpy().astype(np.int64)
+        docs, best = [of_pair[places] for of_pair in held] if held else (times, times)
+        sums = {"n_best": sums_by(of, times * best, len(rows)), "count_sum": sums_by(of, times * docs, len(rows))}
+        arrays = [flat["key"], *[flat[c] for c in COUNTS], *map(pa.array, sums.values()), flat["groups_sha256"]]
+        return pa.RecordBatch.from_arrays(arrays, ["key", *COUNTS, *sums, "groups_sha256"])
 
     numbers = ", ".join(f"{c} bigint" for c in (*COUNTS, "n_best", "count_sum"))
     return joined.mapInArrow(read, f"key {kind}, {numbers}, groups_sha256 string")

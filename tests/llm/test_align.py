@@ -9,7 +9,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from rosterflow.llm import queries
-from rosterflow.llm.align import align, common_ends, group_digests, overlaps, sums_by
+from rosterflow.llm.align import CachedPieces, PlainByteTokenizer, align, chunks, common_ends, group_digests, overlaps, sums_by
 
 FILES = [queries.tokenizer_file(f) for f in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")]
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -114,3 +114,47 @@ def test_parts():
     names = pa.array([str(i) for i in range(10)])
     digest = group_digests(np.array([1, 2, 3]), np.array([4, 5, 6]), np.array([1, 2]), np.array([0, 2]), np.array([1, 1]), 3, names)
     assert digest == ["", hashlib.sha256(b"1,2|4;3|5,6").hexdigest(), ""]
+
+
+def test_no_row_holds_more_than_a_text_and_its_share_of_pairs(spark, docs):
+    values = [(i, f"word{i} and some more of text {i * 7} here" * (1 + i % 3)) for i in range(40)] + [(40, None), (None, "")]
+    rows = chunks(docs(values), *FILES, "doc_id", "text", 8 << 20).collect()
+    assert len(rows) == len(values)
+    of = {}
+    for r in rows:
+        of.setdefault(r.chunk, []).append(r)
+        assert r.key is None or len(r.places) == len(r.times) <= r.n_links
+    for rs in of.values():
+        rs.sort(key=lambda r: r.base)
+        pairs = [p for r in rs for p in r.pairs]
+        assert pairs == sorted(set(pairs))
+        assert all(r.base == sum(len(x.pairs) for x in rs if x.base < r.base) for r in rs if r.pairs)
+        assert max(len(r.pairs) for r in rs) <= -(-len(pairs) // len(rs))
+
+
+@pytest.mark.parametrize("batch_rows", [1, 7, 1000])
+def test_answers_and_texts_in_any_batches(spark, docs, libraries, batch_rows):
+    values = [*ODD, "a few words of a longer text, in which more pairs are linked than a batch has rows"] * 3
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        rows = {r.key: tuple(r[c] for c in COLUMNS) for r in align(docs(list(enumerate(values))).repartition(3), *FILES, chunk_bytes=200).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert rows == dict(enumerate(plain(libraries, values)))
+
+
+def test_words_remembered_are_bounded_and_change_nothing():
+    """What a worker holds must not follow the words of its input: 600,000 on each side were too many beside a full heap."""
+    first, second = PlainByteTokenizer(*FILES[:2]), CachedPieces(FILES[2])
+    texts = [" ".join(f"{i:x}n{j}" for j in range(100)) for i in range(4000)]
+    for at in range(0, len(texts), 400):
+        for text in texts[at : at + 400]:
+            first.encode_spaced(text)
+        second.encode(texts[at : at + 400])
+        assert len(first.spaced) + len(first.spaced.older) <= 200_000
+        assert len(second.seen) + len(second.older) <= 200_000
+    again = texts[:2] + texts[3000:3002] + texts[-2:]
+    new = PlainByteTokenizer(*FILES[:2]), CachedPieces(FILES[2])
+    assert [first.encode_spaced(t) for t in again] == [new[0].encode_spaced(t) for t in again]
+    assert second.encode(again) == new[1].encode(again)
