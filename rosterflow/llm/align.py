@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.llm import ship
-from rosterflow.llm.batches import byte_slices, held, list_array, ragged, texts
+from rosterflow.llm.batches import byte_slices, held, in_turn, list_array, ragged, texts
 from rosterflow.llm.packing import ByteTokenizer, SpacedParts, cut
 from rosterflow.llm.pieces import PieceModel
 from rosterflow.session import materialize
@@ -337,7 +337,8 @@ def align(
     whose bytes either side doesn't give back, has no tokens: zeros, and an empty digest.  Rows that
     repeat count as documents of their own; a null key stays null; an empty table gives no
     rows.  A task holds one chunk of texts (one text at least), and later the counts of one chunk's pairs and
-    a batch of its texts' links; a Python worker remembers ``CACHED`` words for each tokenizer.
+    a batch of its texts' links; a Python worker remembers ``CACHED`` words for each tokenizer, and gives both
+    tokenizers back before it adds up counts.
     """
     made = chunks(df, path, ranks, pieces, key, text, chunk_bytes)
     kind = made.schema["key"].dataType.simpleString()
@@ -374,4 +375,4 @@ def align(
         return pa.RecordBatch.from_arrays(arrays, ["key", *COUNTS, *sums, "groups_sha256"])
 
     numbers = ", ".join(f"{c} bigint" for c in (*COUNTS, "n_best", "count_sum"))
-    return joined.mapInArrow(read, f"key {kind}, {numbers}, groups_sha256 string")
+    return joined.mapInArrow(in_turn("align_sums", read), f"key {kind}, {numbers}, groups_sha256 string")

@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from rosterflow.llm import queries
+from rosterflow.llm import batches, queries
 from rosterflow.llm.align import CachedPieces, PlainByteTokenizer, align, chunks, common_ends, group_digests, overlaps, sums_by
 
 FILES = [queries.tokenizer_file(f) for f in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")]
@@ -144,6 +144,19 @@ def test_answers_and_texts_in_any_batches(spark, docs, libraries, batch_rows):
     assert rows == dict(enumerate(plain(libraries, values)))
 
 
+def test_workers_give_the_tokenizers_back_before_they_add_up(spark, docs, monkeypatch):
+    """The last stage fills the heap most, and needs no tokenizer."""
+    import sys
+
+    module, owners = sys.modules["rosterflow.llm.align"], []
+    monkeypatch.setattr(module, "in_turn", lambda owner, read: owners.append(owner) or batches.in_turn(owner, read))
+    assert align(docs([(1, "some words")]), *FILES).count() == 1
+    monkeypatch.setattr(batches, "_HELD", {"tokenizers": 1})
+    monkeypatch.setattr(batches, "_OWNER", ["align"])
+    assert len(owners) == 1 and list(batches.in_turn(owners[0], iter)([7])) == [7]
+    assert batches._HELD == {}
+
+
 def test_words_remembered_are_bounded_and_change_nothing():
     """What a worker holds must not follow the words of its input: 600,000 on each side were too many beside a full heap."""
     first, second = PlainByteTokenizer(*FILES[:2]), CachedPieces(FILES[2])
